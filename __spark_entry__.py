@@ -50,19 +50,23 @@ class _Reading:
 
     def frequency(self, spark: SparkSession, sf_dir: str, segment: str = "all") -> DataFrame:
         return frequency.event_type_frequency(
-            self.serials(spark, sf_dir), self.registry(spark, sf_dir), segment, self.segments
+            frequency.types_per_sequence(self.serials(spark, sf_dir)),
+            self.registry(spark, sf_dir), segment, self.segments,
         )
 
     def run_summary(self, spark: SparkSession, sf_dir: str, segment: str = "all") -> DataFrame:
-        chosen = self.summary(spark, sf_dir, segment)
         return results.run_summary(
-            chosen, results.last_event_types(chosen), self.frequency(spark, sf_dir, segment), segment
+            self.summary(spark, sf_dir, segment), self.frequency(spark, sf_dir, segment), segment
         )
 
+    def typed_blocks(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return summary.typed_blocks(self.events(spark, sf_dir))
+
 
 _CLICKS = _Reading(tables.clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
 _LINES = _Reading(tables.lines, tables.line_registry, tables.LINE_SEGMENTS, "2-HIGH")
 _COARSE = _Reading(tables.coarse_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
+_STABLE = _Reading(tables.stable_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
 _TURNS = _Reading(tables.turns, tables.click_registry, (), "all")
 
 
@@ -162,6 +166,12 @@ def _single() -> dict[str, Query]:
         "feed_records": _feed_records,
         "required_field_violations": lambda s, d: validate.violations(_broken_events(s, d)),
         "sequence_summary_control": _TURNS.summary,
+        "summary_from_blocks": lambda s, d: summary.summary_of(
+            summary.facts_from_blocks(_STABLE.typed_blocks(s, d)), _STABLE.registry(s, d)),
+        "frequency_from_blocks": lambda s, d: frequency.event_type_frequency(
+            frequency.types_from_blocks(_STABLE.typed_blocks(s, d))),
+        "conflicting_serials": lambda s, d: summary.facts_from_blocks(_CLICKS.typed_blocks(s, d)).select(
+            "sequence_id", "conflicting_serials"),
         "null_profile": lambda s, d: profile.null_profile(_payload_events(s, d)),
         "boolean_values": lambda s, d: profile.grouped_counts(_payload_events(s, d), "visible"),
         "size_fields": lambda s, d: profile.grouped_counts(

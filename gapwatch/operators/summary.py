@@ -1,5 +1,7 @@
 """The per-sequence summary every completeness result is built on."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,11 @@ def sequence_facts(events: DataFrame) -> DataFrame:
         F.min(started).alias("started"),
         F.min("arrival").alias("first_arrival"),
     )
+    return _per_sequence(blocks)
+
+
+def _per_sequence(blocks: DataFrame, *more: Column) -> DataFrame:
+    """Merge block rows into the facts of their sequence; ``more`` are further aggregates."""
     sequences = blocks.groupBy("sequence_id").agg(
         F.sum("rows").alias("rows"),
         F.sum(F.bit_count("bits").cast("bigint")).alias("received_events"),
@@ -52,6 +59,7 @@ def sequence_facts(events: DataFrame) -> DataFrame:
         F.min("last").alias("last"),
         F.min("started").alias("started"),
         F.min("first_arrival").alias("first_arrival"),
+        *more,
     )
     first_serial, last_serial = F.col("first.serial_id"), -F.col("last.negated")
     received = F.col("received_events")
@@ -67,20 +75,58 @@ def sequence_facts(events: DataFrame) -> DataFrame:
         first_serial.alias("missing_prefix"),
         (last_serial - first_serial + 1 - received).alias("missing_inner"),
         (last_serial + 1 - received).alias("lost_events"),
-        "first_arrival",
+        *[name for name in sequences.columns if name in ("first_arrival", "conflicting_serials")],
+    )
+
+
+def typed_blocks(events: DataFrame) -> DataFrame:
+    """Events folded to one row per (sequence, block of 64 serials, type).
+
+    All aggregates are plain longs, so this is one hash aggregation that
+    shrinks the events before anything is shuffled. It holds all that facts
+    and type counts need, except which copy wins where copies of a serial
+    differ in type.
+    """
+    return events.groupBy("sequence_id", block_of("serial_id").alias("block"), "event_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        bits_of("serial_id").alias("bits"),
+        F.min("serial_id").alias("start"),
+        F.max("serial_id").alias("end"),
+        F.min(micros("arrival") - F.col("offset_ms") * 1000).alias("started"),
+        F.min("arrival").alias("first_arrival"),
     )
 
 
+def facts_from_blocks(typed: DataFrame) -> DataFrame:
+    """``sequence_facts`` from typed blocks, plus ``conflicting_serials``.
+
+    The facts are those of ``sequence_facts`` if no serial has copies of
+    different types, that is if ``conflicting_serials`` is 0 throughout: then
+    the types' bitmaps do not overlap. Otherwise use ``sequence_facts``.
+    """
+    blocks = typed.groupBy("sequence_id", "block").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.bit_count("bits").cast("bigint")).alias("typed_serials"),
+        F.bit_or("bits").alias("bits"),
+        F.min(F.struct(F.col("start").alias("serial_id"), "event_type")).alias("first"),
+        F.min(F.struct((-F.col("end")).alias("negated"), "event_type")).alias("last"),
+        F.min("started").alias("started"),
+        F.min("first_arrival").alias("first_arrival"),
+    )
+    overlap = F.sum(F.col("typed_serials") - F.bit_count("bits")).alias("conflicting_serials")
+    return _per_sequence(blocks, overlap)
+
+
 def window_start_of(frame: DataFrame, arrival: str = "arrival") -> Column:
     """Scalar: the hour of the earliest arrival, which opens the data window."""
     return frame.agg(start_of_hour(F.min(arrival))).scalar()
 
 
-def sequence_summary(
-    events: DataFrame,
+def summary_of(
+    facts: DataFrame,
     registry: DataFrame,
     segment: str = ALL_SEGMENTS,
-    segments: tuple[str, ...] = (),
+    segments: Sequence[str] = (),
     window_start: Column | None = None,
 ) -> DataFrame:
     """Facts per sequence with its segment and the window flag.
@@ -89,16 +135,21 @@ def sequence_summary(
     window opened; false means "not proven". Without ``window_start`` the
     window opens at the hour of the earliest arrival in the chosen segment.
     """
-    facts = sequence_facts(events)
     chosen = filter_segment(attach_registry(facts, registry), segment, segments)
-    if window_start is None:
-        # Over the events the minimum is a plain scan of one column. For one
-        # segment it has to be taken per sequence, where the segment is known.
-        whole = segment == ALL_SEGMENTS
-        window_start = window_start_of(events) if whole else window_start_of(chosen, "first_arrival")
-    return flag_window(chosen, window_start)
+    opens = window_start_of(chosen, "first_arrival") if window_start is None else window_start
+    return chosen.withColumn("started_before_window", F.col("implied_start") < opens).select(*SUMMARY_COLUMNS)
 
 
-def flag_window(described: DataFrame, window_start: Column) -> DataFrame:
-    """Add ``started_before_window`` and order the columns as a summary."""
-    return described.withColumn("started_before_window", F.col("implied_start") < window_start).select(*SUMMARY_COLUMNS)
+def sequence_summary(
+    events: DataFrame,
+    registry: DataFrame,
+    segment: str = ALL_SEGMENTS,
+    segments: Sequence[str] = (),
+    window_start: Column | None = None,
+) -> DataFrame:
+    """``summary_of`` straight from events."""
+    if window_start is None and segment == ALL_SEGMENTS:
+        # Over all events the minimum is a scan of one column, without a
+        # shuffle. For one segment it needs the segment, so it goes by sequence.
+        window_start = window_start_of(events)
+    return summary_of(sequence_facts(events), registry, segment, segments, window_start)

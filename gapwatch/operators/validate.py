@@ -3,7 +3,7 @@
 Dropping a bad row would itself create the gap that is being measured.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gapwatch.functions.payload import leaf_fields
@@ -42,6 +42,13 @@ def assert_valid(events: DataFrame) -> DataFrame:
     return events
 
 
+def watch_violations(events: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count the same problems on the side of whatever job reads the returned frame first."""
+    watch = Observation()
+    problems = _problems()
+    return events.observe(watch, *[F.count_if(bad).alias(problem) for problem, bad in problems.items()]), watch
+
+
 def assert_parses(source: DataFrame) -> DataFrame:
     """Return ``source`` unchanged after converting every declared field of every row.
 

@@ -1,15 +1,16 @@
 """The data profile of the feed: every measure as a named, lazy, tidy frame."""
 
+from contextlib import ExitStack
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwatch.operators import profile as measures
 from gapwatch.operators import registry as keys
 from gapwatch.operators import serials as ordered
-from gapwatch.operators.summary import sequence_facts, flag_window, window_start_of
+from gapwatch.operators.summary import sequence_facts, summary_of
+from gapwatch.plans.run import keep
 from gapwatch.plans.session import use_utc
 from gapwatch.sinks import write_json
 from gapwatch.sources import feed
@@ -53,7 +54,7 @@ def file_measures(files: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def event_measures(events: DataFrame, registry: DataFrame, serials: DataFrame, facts: DataFrame) -> dict[str, DataFrame]:
     """Measures of the canonical frames. ``serials`` and ``facts`` derive from ``events``."""
-    summary = flag_window(keys.attach_registry(facts, registry), window_start_of(events))
+    summary = summary_of(facts, registry)
     ranges = {
         "registry": measures.time_range(registry, "registered_at"),
         "events": measures.time_range(events, "arrival"),
@@ -82,19 +83,10 @@ def profile(spark: SparkSession, data_dir: str, out_dir: str) -> None:
     """Write every measure of the feed below ``out_dir``, one directory of JSON lines each."""
     use_utc(spark)
     files = {name: feed.read_file(spark, data_dir, name) for name in (feed.REGISTRY_FILE, *feed.EVENT_TYPES)}
-    kept: list[DataFrame] = []
-
-    def keep(frame: DataFrame) -> DataFrame:
-        kept.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
-        return frame
-
-    try:
-        events = keep(feed.load_received(spark, data_dir))
-        serials = keep(ordered.received_serials(events))
-        facts = keep(sequence_facts(events))
+    with ExitStack() as until:
+        events = keep(feed.load_received(spark, data_dir), until)
+        serials = keep(ordered.received_serials(events), until)
+        facts = keep(sequence_facts(events), until)
         registry = feed.load_registry(spark, data_dir)
         for name, measure in {**file_measures(files), **event_measures(events, registry, serials, facts)}.items():
             write_json(measure, f"{out_dir.rstrip('/')}/{name}")
-    finally:
-        for frame in kept:
-            frame.unpersist()

@@ -1,35 +1,63 @@
 """The whole run: check the events, derive every result, write them."""
 
 from collections.abc import Mapping
+from contextlib import ExitStack
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gapwatch.names import ALL_SEGMENTS
 from gapwatch.operators import results
-from gapwatch.operators.frequency import event_type_frequency
+from gapwatch.operators.frequency import event_type_frequency, types_from_blocks, types_per_sequence
 from gapwatch.operators.serials import received_serials
-from gapwatch.operators.summary import sequence_summary
-from gapwatch.operators.validate import assert_valid
+from gapwatch.operators.summary import facts_from_blocks, sequence_facts, summary_of, typed_blocks
+from gapwatch.operators.validate import assert_valid, watch_violations
 from gapwatch.plans.session import use_utc
 from gapwatch.sinks import WRITERS, write_json
 from gapwatch.sources import feed
 
 
+def keep(frame: DataFrame, until: ExitStack) -> DataFrame:
+    """Store ``frame`` when first computed; released when ``until`` closes, on failure too."""
+    until.callback(frame.unpersist)
+    return frame.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def completeness_results(summary: DataFrame, frequency: DataFrame, segment: str) -> dict[str, DataFrame]:
     """All results of one run as lazy frames over one summary and one frequency table."""
-    last_types = results.last_event_types(summary)
     return {
         "incomplete_sequences": results.incomplete_sequences(summary),
         "not_from_zero": results.not_from_zero(summary),
         "lost_histogram": results.lost_histogram(summary),
         "lost_buckets": results.lost_buckets(summary),
-        "last_event_types": last_types,
+        "last_event_types": results.last_event_types(summary),
         "event_type_frequency": frequency,
-        "run_summary": results.run_summary(summary, last_types, frequency, segment),
+        "run_summary": results.run_summary(summary, frequency, segment),
     }
 
 
+def checked_facts(events: DataFrame, until: ExitStack) -> tuple[DataFrame, DataFrame]:
+    """Facts per sequence and events per (sequence, type) of events that passed the checks.
+
+    One pass over the source does it: the required-field counts ride along
+    while the events fold into typed blocks, and the blocks, not the events,
+    are stored. Only where copies of a serial differ in type do the winners
+    have to be found among the events themselves, in further passes.
+    """
+    watched, watch = watch_violations(events)
+    typed = keep(typed_blocks(watched), until)
+    facts = keep(facts_from_blocks(typed), until)
+    totals = facts.agg(F.count(F.lit(1)).alias("sequences"), F.sum("conflicting_serials").alias("conflicting")).first()
+    # Without any event nothing was watched, and nothing can be wrong.
+    if totals["sequences"] and any(watch.get.values()):
+        assert_valid(events)
+    if totals["conflicting"]:
+        events = keep(events, until)
+        return sequence_facts(events), types_per_sequence(received_serials(events))
+    return facts, types_from_blocks(typed)
+
+
 def run(
     events: DataFrame,
     registry: DataFrame,
@@ -38,32 +66,19 @@ def run(
     segments: tuple[str, ...] = (),
     file_format: str = "csv",
     column_names: Mapping[str, str] | None = None,
-    keep_events: bool = True,
 ) -> None:
     """Check ``events``, then write one directory per result below ``out_dir``.
 
-    With ``keep_events`` the narrow events are kept (memory, then disk) so the
-    source is decoded once; on columnar sources, where reading five columns
-    again costs less than storing them, turn it off. The per-sequence summary
-    and the frequency table are kept in any case, as several results read them.
+    The checks cover all events, before the segment is chosen: a row that lost
+    its key has no segment. ``column_names`` renames result columns on the way out.
     """
-    if keep_events:
-        events = events.persist(StorageLevel.MEMORY_AND_DISK)
-    kept = [events] if keep_events else []
-    try:
-        # Checked before the segment is chosen: a row that lost its key has no segment.
-        assert_valid(events)
-        summary = sequence_summary(events, registry, segment, segments).persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(summary)
-        frequency = event_type_frequency(received_serials(events), registry, segment, segments)
-        frequency = frequency.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(frequency)
+    with ExitStack() as until:
+        facts, counted = checked_facts(events, until)
+        summary = keep(summary_of(facts, registry, segment, segments), until)
+        frequency = keep(event_type_frequency(counted, registry, segment, segments), until)
         for name, result in completeness_results(summary, frequency, segment).items():
             write = write_json if name == "run_summary" else WRITERS[file_format]
             write(result.withColumnsRenamed(dict(column_names or {})), f"{out_dir.rstrip('/')}/{name}")
-    finally:
-        for frame in kept:
-            frame.unpersist()
 
 
 def run_feed(spark: SparkSession, data_dir: str, out_dir: str, segment: str = ALL_SEGMENTS, **options) -> None:

@@ -1,10 +1,11 @@
 """The sample warehouse tables read as event sequences.
 
-Three readings, so that every measure meets data it has something to find in:
+Readings, so that every measure meets data it has something to find in:
 
 * *clicks*: ``events`` by user, with ``customer`` as registry. Arrival times are
   unique; serials repeat and have holes.
 * *coarse clicks*: the same with offsets rounded down so that they tie.
+* *stable clicks*: the same with types that agree between copies.
 * *lines*: ``lineitem`` by order, with ``orders`` as registry. Many short
   sequences; arrivals tie, and both sides have keys the other lacks.
 """
@@ -42,6 +43,12 @@ def coarse_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks(spark, sf_dir).withColumn("offset_ms", F.floor(F.col("serial_id") / 4) * 240000)
 
 
+def stable_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the type decided by the serial, so that copies always agree on it."""
+    kind = F.get(F.array(*[F.lit(name) for name in CLICK_TYPES]), F.col("serial_id") % len(CLICK_TYPES))
+    return clicks(spark, sf_dir).withColumn("event_type", kind)
+
+
 def click_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = read(spark, sf_dir, "customer").filter("c_acctbal > 0")
     return registry_from(known, sequence_id="c_custkey", segment="c_mktsegment")

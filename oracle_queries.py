@@ -17,6 +17,9 @@ registry AS (
   FROM customer WHERE c_acctbal > 0
 )"""
 _COARSE = _CLICKS.replace("k * 60000 + CAST(floor(value * 1000) AS BIGINT)", "(k // 4) * 240000")
+_STABLE = _CLICKS.replace(
+    "ts AS arrival, event_type", "ts AS arrival, ['click', 'error', 'purchase', 'signup', 'view'][k % 5 + 1] AS event_type"
+)
 _LINES = """
 received AS (
   SELECT l_orderkey AS sequence_id, CAST(l_linenumber AS BIGINT) - 1 AS serial_id,
@@ -262,6 +265,11 @@ UNION ALL SELECT 'arrival is missing', count(*) FILTER (WHERE event_type = 'erro
         "sequence_summary_control": _summarised(_TURNS) + " SELECT * FROM summary",
         "sequence_summary_segment": _summarised(_CLICKS, "BUILDING") + " SELECT * FROM summary",
         "sequence_summary_segment_b": _summarised(_LINES, "2-HIGH") + " SELECT * FROM summary",
+        "summary_from_blocks": _summarised(_STABLE) + " SELECT * FROM summary",
+        "frequency_from_blocks": _attached(_STABLE, None) + f",{_FREQUENCY} SELECT * FROM frequency",
+        "conflicting_serials": f"""WITH {_CLICKS}
+SELECT sequence_id, CAST(sum(types - 1) AS BIGINT) AS conflicting_serials
+FROM (SELECT sequence_id, serial_id, count(DISTINCT event_type) AS types FROM received GROUP BY ALL) GROUP BY 1""",
         **_pairs("incomplete_sequences", lambda s: _summarised(s) + _INCOMPLETE),
         **_pairs("not_from_zero", lambda s: _summarised(s) + _NOT_FROM_ZERO),
         **_pairs("lost_histogram", lambda s: _summarised(s) + _HISTOGRAM),
