@@ -150,8 +150,7 @@ def _per_reading() -> dict[str, Callable[[_Reading], Query]]:
         "first_serial_distribution": lambda r: lambda s, d: profile.first_serial_distribution(r.events(s, d)),
         "first_serial_above_nine": lambda r: lambda s, d: profile.first_serial_above(r.events(s, d), 9),
         "types_at_serial_zero": lambda r: lambda s, d: profile.types_at_serial_zero(r.events(s, d)),
-        "ordering_violations": lambda r: lambda s, d: serials.ordering_violations(
-            serials.serial_steps(r.serials(s, d))),
+        "ordering_violations": lambda r: lambda s, d: serials.ordering_violations(r.serials(s, d)),
         "gap_runs": lambda r: lambda s, d: serials.gap_runs(r.events(s, d)),
         "last_event_by_ordering": lambda r: lambda s, d: serials.last_event_by_ordering(r.serials(s, d)),
         "last_event_disagreements": lambda r: lambda s, d: serials.last_event_disagreements(r.serials(s, d)),

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ACCURACY = 10000
@@ -12,10 +12,11 @@ def exact_quantiles(values: DataFrame, column: str, probabilities: Sequence[floa
     """Rows ``(probability, value)``, interpolated between neighbours like ``percentile``.
 
     ``percentile`` keeps every distinct value in one task. Here a bounded
-    sketch brackets each quantile first; its rank error is at most
-    ``n / accuracy``, so two error widths either side are certain to hold the
-    quantile. One pass then counts the values below each bracket, and only
-    the few values inside the brackets are put in order.
+    sketch brackets each quantile first: its rank error is at most
+    ``n / accuracy``, so two error widths either side hold the quantile, give
+    or take the neighbour it is interpolated with. One pass then folds all
+    values below a bracket into a count and their maximum, all above into a
+    count and their minimum, and only values inside are put in order.
     """
     values = values.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     margin = 2.0 / _ACCURACY
@@ -23,49 +24,50 @@ def exact_quantiles(values: DataFrame, column: str, probabilities: Sequence[floa
     highs = [min(1.0, p + margin) for p in probabilities]
     sketch = values.agg(F.percentile_approx("v", lows + highs, _ACCURACY).alias("cuts"))
 
-    # The sketch is one row: a scalar subquery, evaluated once.
-    k = len(probabilities)
     brackets = F.array(*[
         F.struct(
             F.lit(float(p)).alias("probability"),
             F.get("cuts", F.lit(i)).alias("low"),
-            F.get("cuts", F.lit(k + i)).alias("high"),
+            F.get("cuts", F.lit(len(lows) + i)).alias("high"),
         )
         for i, p in enumerate(probabilities)
     ])
-    near = (
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    folded = (
+        # The sketch is one row: a scalar subquery, evaluated once.
         values.select("v", sketch.scalar().alias("cuts"))
-        .select("v", F.explode(brackets).alias("b"))
-        .select("v", "b.*")
-        # One row per value inside a bracket, one per bracket for all values below it.
+        .select("v", F.inline(brackets))
         .select(
             "probability",
-            F.when(F.col("v") >= F.col("low"), F.least("v", "high")).alias("v"),
-            (F.col("v") > F.col("high")).alias("above"),
+            "v",
+            F.when(v < low, -1).when(v > high, 1).otherwise(0).alias("side"),
         )
-        .groupBy("probability", "v", "above")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("probability", "side", F.when(F.col("side") == 0, v).alias("inside"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("v").alias("smallest"), F.max("v").alias("largest"))
     )
-    in_order = Window.partitionBy("probability").orderBy(F.col("v").asc_nulls_first(), "above")
-    ranked = near.select(
+    in_order = Window.partitionBy("probability").orderBy("side", "inside")
+    ranked = folded.select(
         "*",
         F.sum("copies").over(in_order).alias("upto"),
         F.sum("copies").over(Window.partitionBy("probability")).alias("n"),
     )
     position = F.col("probability") * (F.col("n") - 1)
-    covers = lambda rank: (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("copies"))
+
+    def value_at(rank: Column) -> Column:
+        """The value at a 0-based rank if this row holds it: of a folded side, only its inner end is known."""
+        first, last = F.col("upto") - F.col("copies"), F.col("upto") - 1
+        return F.when(rank == last, F.col("largest")).when(rank == first, F.col("smallest")).when(
+            (rank > first) & (rank < last) & (F.col("side") == 0), F.col("inside"))
+
+    lower, upper = F.max("lower"), F.max("upper")
     return (
         ranked.select(
             "probability",
-            position.alias("position"),
-            F.when(covers(F.floor(position)), F.col("v")).alias("lower"),
-            F.when(covers(F.ceil(position)), F.col("v")).alias("upper"),
+            (position - F.floor(position)).alias("fraction"),
+            value_at(F.floor(position)).alias("lower"),
+            value_at(F.ceil(position)).alias("upper"),
         )
         .groupBy("probability")
-        .agg(F.max("position").alias("position"), F.max("lower").alias("lower"), F.max("upper").alias("upper"))
-        .select(
-            "probability",
-            (F.col("lower") + (F.col("position") - F.floor("position")) * (F.col("upper") - F.col("lower"))).alias("value"),
-        )
+        .agg((lower + F.max("fraction") * (upper - lower)).alias("value"))
         .orderBy("probability")
     )

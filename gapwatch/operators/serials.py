@@ -24,45 +24,49 @@ def received_serials(events: DataFrame) -> DataFrame:
     )
 
 
-def serial_steps(serials: DataFrame, stretch_bits: int = STRETCH_BITS) -> DataFrame:
-    """Each received serial next to the one received before it in its sequence.
+def ordering_violations(serials: DataFrame, stretch_bits: int = STRETCH_BITS) -> DataFrame:
+    """How often offset or arrival decreases as the serial grows, and in how many sequences.
 
-    Inside a stretch of serials that is ``lag``. The first serial of a stretch
-    follows the last one of the stretch before, so each stretch is reduced to
-    its two end rows and only those are put in order per sequence.
+    Inside a stretch of serials each one is compared with the one before by
+    ``lag``. The first of a stretch follows the last of the stretch before, so
+    a stretch is folded to its counts and its two ends, and only those rows
+    are put in order per sequence.
     """
-    fields = ["serial_id", "offset_ms", "arrival"]
-    stretched = serials.withColumn("stretch", F.shiftright("serial_id", stretch_bits))
-
     inside = Window.partitionBy("sequence_id", "stretch").orderBy("serial_id")
-    steps = stretched.select(
-        "sequence_id", *fields, *[F.lag(name).over(inside).alias(f"previous_{name}") for name in fields]
+    compared = serials.select(
+        "sequence_id", F.shiftright("serial_id", stretch_bits).alias("stretch"), "serial_id", "offset_ms", "arrival"
+    ).select(
+        "*",
+        (F.col("offset_ms") < F.lag("offset_ms").over(inside)).alias("offset_back"),
+        (F.col("arrival") < F.lag("arrival").over(inside)).alias("arrival_back"),
     )
-
-    def ends(pick, prefix):
-        return [pick(name, "serial_id").alias(f"{prefix}{name}") for name in fields]
-
-    stretches = stretched.groupBy("sequence_id", "stretch").agg(*ends(F.min_by, ""), *ends(F.max_by, "end_"))
-    across = Window.partitionBy("sequence_id").orderBy("stretch")
-    joints = stretches.select(
-        "sequence_id", *fields, *[F.lag(f"end_{name}").over(across).alias(f"previous_{name}") for name in fields]
+    stretches = compared.groupBy("sequence_id", "stretch").agg(
+        F.count_if("offset_back").alias("offsets"),
+        F.count_if("arrival_back").alias("arrivals"),
+        *[pick(name, "serial_id").alias(f"{end}_{name}")
+          for end, pick in (("start", F.min_by), ("end", F.max_by)) for name in ("offset_ms", "arrival")],
     )
-    return steps.unionByName(joints).filter("previous_serial_id IS NOT NULL")
-
-
-def ordering_violations(steps: DataFrame) -> DataFrame:
-    """How often offset or arrival decreases as the serial grows, and in how many sequences."""
-    back_in_offset = F.col("offset_ms") < F.col("previous_offset_ms")
-    back_in_arrival = F.col("arrival") < F.col("previous_arrival")
-    return (
-        steps.groupBy("sequence_id")
-        .agg(F.count_if(back_in_offset).alias("offsets"), F.count_if(back_in_arrival).alias("arrivals"))
+    across = Window.partitionBy("sequence_id").orderBy("stretch")
+    sequences = (
+        stretches.select(
+            "sequence_id",
+            "offsets",
+            "arrivals",
+            (F.col("start_offset_ms") < F.lag("end_offset_ms").over(across)).alias("offset_back"),
+            (F.col("start_arrival") < F.lag("end_arrival").over(across)).alias("arrival_back"),
+        )
+        .groupBy("sequence_id")
         .agg(
-            F.coalesce(F.sum("offsets"), F.lit(0).cast("bigint")).alias("offset_decreases"),
-            F.coalesce(F.sum("arrivals"), F.lit(0).cast("bigint")).alias("arrival_decreases"),
-            F.count_if(F.col("arrivals") > 0).alias("sequences_with_arrival_decrease"),
+            (F.sum("offsets") + F.count_if("offset_back")).alias("offsets"),
+            (F.sum("arrivals") + F.count_if("arrival_back")).alias("arrivals"),
         )
     )
+    none = F.lit(0).cast("bigint")
+    return sequences.agg(
+        F.coalesce(F.sum("offsets"), none).alias("offset_decreases"),
+        F.coalesce(F.sum("arrivals"), none).alias("arrival_decreases"),
+        F.count_if(F.col("arrivals") > 0).alias("sequences_with_arrival_decrease"),
+    )
 
 
 def gap_runs(events: DataFrame, stretch_bits: int = STRETCH_BITS) -> DataFrame:
@@ -148,8 +152,9 @@ def max_offset_ties(serials: DataFrame) -> DataFrame:
     per_offset = serials.groupBy("sequence_id", "offset_ms").agg(
         F.count(F.lit(1)).alias("events"), (F.min("event_type") != F.max("event_type")).alias("mixed")
     )
-    at_maximum = per_offset.groupBy("sequence_id").agg(F.max(F.struct("offset_ms", "events", "mixed")).alias("top"))
+    at_maximum = per_offset.groupBy("sequence_id").agg(
+        F.max_by("events", "offset_ms").alias("events"), F.max_by("mixed", "offset_ms").alias("mixed")
+    )
     return at_maximum.agg(
-        F.count_if(F.col("top.events") > 1).alias("tied_sequences"),
-        F.count_if(F.col("top.mixed")).alias("tied_between_types"),
+        F.count_if(F.col("events") > 1).alias("tied_sequences"), F.count_if("mixed").alias("tied_between_types")
     )

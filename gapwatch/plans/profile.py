@@ -68,7 +68,7 @@ def event_measures(events: DataFrame, registry: DataFrame, serials: DataFrame, f
         "first_serial_distribution": measures.first_serial_distribution(events),
         "first_serial_above_9": measures.first_serial_above(events),
         "types_at_serial_zero": measures.types_at_serial_zero(events),
-        "ordering_violations": ordered.ordering_violations(ordered.serial_steps(serials)),
+        "ordering_violations": ordered.ordering_violations(serials),
         "gap_runs": ordered.gap_runs(events),
         "last_event_by_ordering": ordered.last_event_by_ordering(serials),
         "last_event_disagreements": ordered.last_event_disagreements(serials),
