@@ -18,7 +18,7 @@ SUMMARY_COLUMNS = (
 )
 
 
-def sequence_facts(events: DataFrame) -> DataFrame:
+def sequence_facts(events: DataFrame, per: Sequence[str] = ()) -> DataFrame:
     """One row per sequence: what arrived, measured from the events alone.
 
     * ``received_events`` counts distinct serials, ``duplicate_events`` the
@@ -34,11 +34,12 @@ def sequence_facts(events: DataFrame) -> DataFrame:
     Grouping goes by (sequence, block of 64 serials) and then by sequence. The
     first step combines copies and neighbours before its shuffle and spreads a
     huge sequence over as many tasks as it has blocks; what the second moves is
-    a row per block, not per event.
+    a row per block, not per event. ``per`` names further columns to keep apart,
+    such as a time window.
     """
     started = micros("arrival") - F.col("offset_ms") * 1000
     copy = [F.col("arrival"), F.col("event_type")]
-    blocks = events.groupBy("sequence_id", block_of("serial_id").alias("block")).agg(
+    blocks = events.groupBy(*per, "sequence_id", block_of("serial_id").alias("block")).agg(
         F.count(F.lit(1)).alias("rows"),
         bits_of("serial_id").alias("bits"),
         F.min(F.struct(F.col("serial_id"), *copy)).alias("first"),
@@ -47,12 +48,12 @@ def sequence_facts(events: DataFrame) -> DataFrame:
         F.min(started).alias("started"),
         F.min("arrival").alias("first_arrival"),
     )
-    return _per_sequence(blocks)
+    return _per_sequence(blocks, per)
 
 
-def _per_sequence(blocks: DataFrame, *more: Column) -> DataFrame:
+def _per_sequence(blocks: DataFrame, per: Sequence[str], *more: Column) -> DataFrame:
     """Merge block rows into the facts of their sequence; ``more`` are further aggregates."""
-    sequences = blocks.groupBy("sequence_id").agg(
+    sequences = blocks.groupBy(*per, "sequence_id").agg(
         F.sum("rows").alias("rows"),
         F.sum(F.bit_count("bits").cast("bigint")).alias("received_events"),
         F.min("first").alias("first"),
@@ -64,6 +65,7 @@ def _per_sequence(blocks: DataFrame, *more: Column) -> DataFrame:
     first_serial, last_serial = F.col("first.serial_id"), -F.col("last.negated")
     received = F.col("received_events")
     return sequences.select(
+        *per,
         "sequence_id",
         first_serial.alias("first_serial_id"),
         last_serial.alias("last_serial_id"),
@@ -114,7 +116,7 @@ def facts_from_blocks(typed: DataFrame) -> DataFrame:
         F.min("first_arrival").alias("first_arrival"),
     )
     overlap = F.sum(F.col("typed_serials") - F.bit_count("bits")).alias("conflicting_serials")
-    return _per_sequence(blocks, overlap)
+    return _per_sequence(blocks, (), overlap)
 
 
 def window_start_of(frame: DataFrame, arrival: str = "arrival") -> Column:
