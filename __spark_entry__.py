@@ -17,6 +17,7 @@ from gapwatch.operators import frequency, profile, registry, results, serials, s
 from gapwatch.plans.session import use_utc
 from gapwatch.sources import feed
 from gapwatch.sources import sample_tables as tables
+from gapwatch.streaming import hourly_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,9 +125,9 @@ def _window_end() -> Column:
 def _per_reading() -> dict[str, Callable[[_Reading], Query]]:
     """Queries registered for both readings, the second with suffix ``_b``."""
     return {
-        "registry_attach": lambda r: lambda s, d: registry.attach_registry(r.events(s, d), r.registry(s, d)),
+        "registry_attach": lambda r: lambda s, d: registry.attach_registry_to_events(r.events(s, d), r.registry(s, d)),
         "segment_filtered": lambda r: lambda s, d: registry.filter_segment(
-            registry.attach_registry(r.events(s, d), r.registry(s, d)), r.segment, r.segments),
+            registry.attach_registry_to_events(r.events(s, d), r.registry(s, d)), r.segment, r.segments),
         "sequence_summary": lambda r: r.summary,
         "sequence_summary_segment": lambda r: lambda s, d: r.summary(s, d, r.segment),
         "incomplete_sequences": lambda r: lambda s, d: results.incomplete_sequences(r.summary(s, d)),
@@ -165,11 +166,11 @@ def _single() -> dict[str, Query]:
         "feed_records": _feed_records,
         "required_field_violations": lambda s, d: validate.violations(_broken_events(s, d)),
         "sequence_summary_control": _TURNS.summary,
-        "summary_from_blocks": lambda s, d: summary.summary_of(
-            summary.facts_from_blocks(_STABLE.typed_blocks(s, d)), _STABLE.registry(s, d)),
+        "sequence_summary_stable": _STABLE.summary,
         "frequency_from_blocks": lambda s, d: frequency.event_type_frequency(
             frequency.types_from_blocks(_STABLE.typed_blocks(s, d))),
-        "conflicting_serials": lambda s, d: summary.facts_from_blocks(_CLICKS.typed_blocks(s, d)).select(
+        "hourly_summary": lambda s, d: hourly_summary(_CLICKS.events(s, d), _CLICKS.registry(s, d)),
+        "conflicting_serials": lambda s, d: summary.sequence_facts(_CLICKS.events(s, d)).select(
             "sequence_id", "conflicting_serials"),
         "null_profile": lambda s, d: profile.null_profile(_payload_events(s, d)),
         "boolean_values": lambda s, d: profile.grouped_counts(_payload_events(s, d), "visible"),

@@ -11,16 +11,44 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLOCK_SHIFT = 6  # 2**6 serials per block: the bits of a long
+LAST_POSITION = (1 << _BLOCK_SHIFT) - 1
+_ARRIVAL_BITS = 63 - _BLOCK_SHIFT
 
 
 def block_of(serial: str) -> Column:
     return F.shiftright(serial, _BLOCK_SHIFT)
 
 
+def position_of(serial: str) -> Column:
+    """Position of a serial in its block, 0 to 63."""
+    return F.col(serial).bitwiseAND(F.lit(LAST_POSITION))
+
+
+def serial_at(block: str, position: Column) -> Column:
+    return F.call_function("shiftleft", F.col(block), F.lit(_BLOCK_SHIFT)) + position
+
+
 def bits_of(serial: str) -> Column:
     """Aggregate: the received serials of one block as a bitmap."""
-    position = F.col(serial).bitwiseAND(F.lit((1 << _BLOCK_SHIFT) - 1)).cast("int")
-    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), position))
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), position_of(serial).cast("int")))
+
+
+def copy_order(position: Column, arrival: str) -> Column:
+    """One long that sorts the copies of a block by position, then by arrival.
+
+    Its minimum is a plain long, which a hash aggregate can keep; a struct
+    would force sorting. The position takes the upper 6 bits and the arrival
+    the 57 below: microseconds up to the year 4253. Copies of one serial that
+    arrive even later count as simultaneous.
+    """
+    half = 1 << (_ARRIVAL_BITS - 1)
+    lower = F.least(F.unix_micros(arrival), F.lit(half - 1)) + F.lit(half)
+    return position * F.lit(1 << _ARRIVAL_BITS) + lower
+
+
+def ordered_position(order: str) -> Column:
+    """The position a ``copy_order`` value was made from."""
+    return F.shiftright(order, _ARRIVAL_BITS)
 
 
 def _text(bits) -> Column:
@@ -31,11 +59,11 @@ def _text(bits) -> Column:
 def lowest_serial(block, bits) -> Column:
     """The first received serial of a block: its trailing zeros are absent serials."""
     trailing = F.length(_text(bits)) - F.length(F.rtrim(_text(bits), F.lit("0")))
-    return F.call_function("shiftleft", F.col(block), F.lit(_BLOCK_SHIFT)) + trailing
+    return serial_at(block, trailing)
 
 
 def highest_serial(block, bits) -> Column:
-    return F.call_function("shiftleft", F.col(block), F.lit(_BLOCK_SHIFT)) + F.length(_text(bits)) - 1
+    return serial_at(block, F.length(_text(bits)) - 1)
 
 
 def inner_gap_lengths(bits) -> Column:

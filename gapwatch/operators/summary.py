@@ -5,7 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.functions.bitmaps import bits_of, block_of
+from gapwatch.functions.bitmaps import (
+    LAST_POSITION, bits_of, block_of, copy_order, ordered_position, position_of, serial_at,
+)
 from gapwatch.functions.times import from_micros, micros, start_of_hour
 from gapwatch.names import ALL_SEGMENTS
 from gapwatch.operators.registry import attach_registry, filter_segment
@@ -18,7 +20,26 @@ SUMMARY_COLUMNS = (
 )
 
 
-def sequence_facts(events: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+def typed_blocks(events: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """Events folded to one row per (sequence, block of 64 serials, type).
+
+    All aggregates are plain longs, so this is one hash aggregation that
+    shrinks the events before anything is shuffled, combines copies, and
+    spreads a huge sequence over as many tasks as it has blocks. Everything
+    below is derived from these rows. ``per`` names further columns to keep
+    apart, such as a time window.
+    """
+    return events.groupBy(*per, "sequence_id", block_of("serial_id").alias("block"), "event_type").agg(
+        F.count(F.lit(1)).alias("rows"),
+        bits_of("serial_id").alias("bits"),
+        F.min(copy_order(position_of("serial_id"), "arrival")).alias("first_copy"),
+        F.min(copy_order(LAST_POSITION - position_of("serial_id"), "arrival")).alias("last_copy"),
+        F.min(micros("arrival") - F.col("offset_ms") * 1000).alias("started"),
+        F.min("arrival").alias("first_arrival"),
+    )
+
+
+def facts_from_blocks(typed: DataFrame, per: Sequence[str] = ()) -> DataFrame:
     """One row per sequence: what arrived, measured from the events alone.
 
     * ``received_events`` counts distinct serials, ``duplicate_events`` the
@@ -30,39 +51,31 @@ def sequence_facts(events: DataFrame, per: Sequence[str] = ()) -> DataFrame:
     * ``missing_prefix`` are the serials below the first one received,
       ``missing_inner`` the holes up to the last; ``lost_events`` is their sum.
       Serials after the last received one cannot be seen, so it is a lower bound.
-
-    Grouping goes by (sequence, block of 64 serials) and then by sequence. The
-    first step combines copies and neighbours before its shuffle and spreads a
-    huge sequence over as many tasks as it has blocks; what the second moves is
-    a row per block, not per event. ``per`` names further columns to keep apart,
-    such as a time window.
+    * ``conflicting_serials`` counts serials whose copies differ in type, once
+      per further type. Where it is 0 the types' bitmaps do not overlap.
     """
-    started = micros("arrival") - F.col("offset_ms") * 1000
-    copy = [F.col("arrival"), F.col("event_type")]
-    blocks = events.groupBy(*per, "sequence_id", block_of("serial_id").alias("block")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        bits_of("serial_id").alias("bits"),
-        F.min(F.struct(F.col("serial_id"), *copy)).alias("first"),
-        # The smallest negated serial is the last one, still with its smallest copy.
-        F.min(F.struct((-F.col("serial_id")).alias("negated"), *copy)).alias("last"),
-        F.min(started).alias("started"),
-        F.min("arrival").alias("first_arrival"),
+    distinct = F.bit_count("bits").cast("bigint")
+    blocks = typed.groupBy(*per, "sequence_id", "block").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(distinct).alias("typed_serials"),
+        F.bit_or("bits").alias("bits"),
+        F.min(F.struct("first_copy", "event_type")).alias("first"),
+        F.min(F.struct("last_copy", "event_type")).alias("last"),
+        F.min("started").alias("started"),
+        F.min("first_arrival").alias("first_arrival"),
     )
-    return _per_sequence(blocks, per)
-
-
-def _per_sequence(blocks: DataFrame, per: Sequence[str], *more: Column) -> DataFrame:
-    """Merge block rows into the facts of their sequence; ``more`` are further aggregates."""
+    numbered = F.col("block").isNotNull()
     sequences = blocks.groupBy(*per, "sequence_id").agg(
         F.sum("rows").alias("rows"),
-        F.sum(F.bit_count("bits").cast("bigint")).alias("received_events"),
-        F.min("first").alias("first"),
-        F.min("last").alias("last"),
+        F.sum(distinct).alias("received_events"),
+        F.sum(F.col("typed_serials") - distinct).alias("conflicting_serials"),
+        F.min(F.when(numbered, F.struct("block", "first"))).alias("head"),
+        F.max(F.when(numbered, F.struct("block", "last"))).alias("tail"),
         F.min("started").alias("started"),
         F.min("first_arrival").alias("first_arrival"),
-        *more,
     )
-    first_serial, last_serial = F.col("first.serial_id"), -F.col("last.negated")
+    first_serial = serial_at("head.block", ordered_position("head.first.first_copy"))
+    last_serial = serial_at("tail.block", LAST_POSITION - ordered_position("tail.last.last_copy"))
     received = F.col("received_events")
     return sequences.select(
         *per,
@@ -71,52 +84,20 @@ def _per_sequence(blocks: DataFrame, per: Sequence[str], *more: Column) -> DataF
         last_serial.alias("last_serial_id"),
         received,
         (F.col("rows") - received).alias("duplicate_events"),
-        F.col("first.event_type").alias("first_event_type"),
-        F.col("last.event_type").alias("last_event_type"),
+        F.col("head.first.event_type").alias("first_event_type"),
+        F.col("tail.last.event_type").alias("last_event_type"),
         from_micros("started").alias("implied_start"),
         first_serial.alias("missing_prefix"),
         (last_serial - first_serial + 1 - received).alias("missing_inner"),
         (last_serial + 1 - received).alias("lost_events"),
-        *[name for name in sequences.columns if name in ("first_arrival", "conflicting_serials")],
+        "first_arrival",
+        "conflicting_serials",
     )
 
 
-def typed_blocks(events: DataFrame) -> DataFrame:
-    """Events folded to one row per (sequence, block of 64 serials, type).
-
-    All aggregates are plain longs, so this is one hash aggregation that
-    shrinks the events before anything is shuffled. It holds all that facts
-    and type counts need, except which copy wins where copies of a serial
-    differ in type.
-    """
-    return events.groupBy("sequence_id", block_of("serial_id").alias("block"), "event_type").agg(
-        F.count(F.lit(1)).alias("rows"),
-        bits_of("serial_id").alias("bits"),
-        F.min("serial_id").alias("start"),
-        F.max("serial_id").alias("end"),
-        F.min(micros("arrival") - F.col("offset_ms") * 1000).alias("started"),
-        F.min("arrival").alias("first_arrival"),
-    )
-
-
-def facts_from_blocks(typed: DataFrame) -> DataFrame:
-    """``sequence_facts`` from typed blocks, plus ``conflicting_serials``.
-
-    The facts are those of ``sequence_facts`` if no serial has copies of
-    different types, that is if ``conflicting_serials`` is 0 throughout: then
-    the types' bitmaps do not overlap. Otherwise use ``sequence_facts``.
-    """
-    blocks = typed.groupBy("sequence_id", "block").agg(
-        F.sum("rows").alias("rows"),
-        F.sum(F.bit_count("bits").cast("bigint")).alias("typed_serials"),
-        F.bit_or("bits").alias("bits"),
-        F.min(F.struct(F.col("start").alias("serial_id"), "event_type")).alias("first"),
-        F.min(F.struct((-F.col("end")).alias("negated"), "event_type")).alias("last"),
-        F.min("started").alias("started"),
-        F.min("first_arrival").alias("first_arrival"),
-    )
-    overlap = F.sum(F.col("typed_serials") - F.bit_count("bits")).alias("conflicting_serials")
-    return _per_sequence(blocks, (), overlap)
+def sequence_facts(events: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """``facts_from_blocks`` straight from events."""
+    return facts_from_blocks(typed_blocks(events, per), per)
 
 
 def window_start_of(frame: DataFrame, arrival: str = "arrival") -> Column:

@@ -11,7 +11,7 @@ from gapwatch.names import ALL_SEGMENTS
 from gapwatch.operators import results
 from gapwatch.operators.frequency import event_type_frequency, types_from_blocks, types_per_sequence
 from gapwatch.operators.serials import received_serials
-from gapwatch.operators.summary import facts_from_blocks, sequence_facts, summary_of, typed_blocks
+from gapwatch.operators.summary import facts_from_blocks, summary_of, typed_blocks
 from gapwatch.operators.validate import assert_valid, watch_violations
 from gapwatch.plans.session import use_utc
 from gapwatch.sinks import WRITERS, write_json
@@ -42,8 +42,8 @@ def checked_facts(events: DataFrame, until: ExitStack) -> tuple[DataFrame, DataF
 
     One pass over the source does it: the required-field counts ride along
     while the events fold into typed blocks, and the blocks, not the events,
-    are stored. Only where copies of a serial differ in type do the winners
-    have to be found among the events themselves, in further passes.
+    are stored. Only where copies of a serial differ in type does counting
+    types take a second pass, to find which copy wins.
     """
     watched, watch = watch_violations(events)
     typed = keep(typed_blocks(watched), until)
@@ -52,10 +52,7 @@ def checked_facts(events: DataFrame, until: ExitStack) -> tuple[DataFrame, DataF
     # Without any event nothing was watched, and nothing can be wrong.
     if totals["sequences"] and any(watch.get.values()):
         assert_valid(events)
-    if totals["conflicting"]:
-        events = keep(events, until)
-        return sequence_facts(events), types_per_sequence(received_serials(events))
-    return facts, types_from_blocks(typed)
+    return facts, types_per_sequence(received_serials(events)) if totals["conflicting"] else types_from_blocks(typed)
 
 
 def run(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwatch.functions.times import parse_utc
-from gapwatch.operators.registry import attach_registry
+from gapwatch.operators.registry import attach_registry_to_events
 
 # File names and fields of the feed. Declared, never inferred:
 # inference costs a pass and takes types from the values it happens to see.
@@ -77,4 +77,4 @@ def load_received(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def load_events(spark: SparkSession, data_dir: str) -> DataFrame:
     """Received events with segment and registry flag on every row."""
-    return attach_registry(load_received(spark, data_dir), load_registry(spark, data_dir))
+    return attach_registry_to_events(load_received(spark, data_dir), load_registry(spark, data_dir))

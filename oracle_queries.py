@@ -86,6 +86,29 @@ summary AS (
 )"""
 
 
+def _hourly(source: str) -> str:
+    return _attached(source, None) + """,
+hourly AS (
+  SELECT *, date_trunc('hour', arrival) AS h FROM attached
+),
+picked AS (
+  SELECT *,
+    first_value(event_type) OVER (PARTITION BY h, sequence_id ORDER BY serial_id, arrival, event_type) AS first_type,
+    first_value(event_type) OVER (PARTITION BY h, sequence_id ORDER BY serial_id DESC, arrival, event_type) AS last_type
+  FROM hourly
+)
+SELECT h AS window_start, sequence_id, min(segment) AS segment, bool_or(has_registry) AS has_registry,
+  min(serial_id) AS first_serial_id, max(serial_id) AS last_serial_id,
+  count(DISTINCT serial_id) AS received_events, count(*) - count(DISTINCT serial_id) AS duplicate_events,
+  min(first_type) AS first_event_type, min(last_type) AS last_event_type,
+  make_timestamp(min(epoch_us(arrival) - offset_ms * 1000)) AS implied_start,
+  min(serial_id) AS missing_prefix,
+  max(serial_id) - min(serial_id) + 1 - count(DISTINCT serial_id) AS missing_inner,
+  max(serial_id) + 1 - count(DISTINCT serial_id) AS lost_events,
+  min(epoch_us(arrival) - offset_ms * 1000) < epoch_us(h) AS started_before_window
+FROM picked GROUP BY h, sequence_id"""
+
+
 _LAST_TYPES = """
 last_types AS (
   SELECT event_type, sequences,
@@ -265,8 +288,9 @@ UNION ALL SELECT 'arrival is missing', count(*) FILTER (WHERE event_type = 'erro
         "sequence_summary_control": _summarised(_TURNS) + " SELECT * FROM summary",
         "sequence_summary_segment": _summarised(_CLICKS, "BUILDING") + " SELECT * FROM summary",
         "sequence_summary_segment_b": _summarised(_LINES, "2-HIGH") + " SELECT * FROM summary",
-        "summary_from_blocks": _summarised(_STABLE) + " SELECT * FROM summary",
+        "sequence_summary_stable": _summarised(_STABLE) + " SELECT * FROM summary",
         "frequency_from_blocks": _attached(_STABLE, None) + f",{_FREQUENCY} SELECT * FROM frequency",
+        "hourly_summary": _hourly(_CLICKS),
         "conflicting_serials": f"""WITH {_CLICKS}
 SELECT sequence_id, CAST(sum(types - 1) AS BIGINT) AS conflicting_serials
 FROM (SELECT sequence_id, serial_id, count(DISTINCT event_type) AS types FROM received GROUP BY ALL) GROUP BY 1""",

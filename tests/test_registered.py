@@ -50,7 +50,7 @@ def _hash_exchanges(frame):
 
 
 @pytest.mark.parametrize("name, exchanges", [
-    ("sequence_summary_b", 3),             # blocks, sequences, registry
+    ("sequence_summary_b", 4),             # typed blocks, blocks, sequences, registry
     ("event_type_frequency_b", 4),         # serials, (sequence, type), sequence, type
     ("key_coverage_b", 1),
     ("ordering_violations_b", 3),          # serials, stretches, sequences

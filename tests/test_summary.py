@@ -1,6 +1,7 @@
 """Definitions of the per-sequence summary and the results read off it."""
 
-from datetime import timedelta
+import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import CHANGE, CREATE, DOWN, EVENTS, HOUR, PAGE, by_sequence, rows_of
@@ -10,7 +11,7 @@ from gapwatch.operators import results
 from gapwatch.operators.frequency import event_type_frequency, types_from_blocks, types_per_sequence
 from gapwatch.operators.serials import received_serials
 from gapwatch.operators.summary import (
-    SUMMARY_COLUMNS, facts_from_blocks, sequence_facts, sequence_summary, typed_blocks,
+    SUMMARY_COLUMNS, sequence_facts, sequence_summary, typed_blocks,
 )
 
 
@@ -227,7 +228,7 @@ def test_winners_keep_ties(make_events, summarise):
     assert row["most_frequent_event_type"] == [PAGE]
 
 
-def test_typed_blocks_agree_with_the_general_way(spark):
+def test_types_from_blocks_agree_with_counting_serials(spark):
     # Types decided by the serial, arrivals and repeats scattered: no conflicting copies.
     base = spark.range(4000).select(
         (F.col("id") % 13).alias("sequence_id"), (F.pmod(F.xxhash64("id"), F.lit(300))).alias("serial_id"))
@@ -236,15 +237,38 @@ def test_typed_blocks_agree_with_the_general_way(spark):
         F.timestamp_micros(F.pmod(F.xxhash64("serial_id", "sequence_id"), F.lit(10**12))).alias("arrival"),
         F.get(F.array(F.lit(PAGE), F.lit(CREATE), F.lit(CHANGE)), F.col("serial_id") % 3).alias("event_type"))
     typed = typed_blocks(events)
-    folded = facts_from_blocks(typed)
-    assert folded.agg(F.sum("conflicting_serials")).first()[0] == 0
-    general = sequence_facts(events)
-    assert sorted(map(repr, folded.select(general.columns).collect())) == sorted(map(repr, general.collect()))
+    assert sequence_facts(events).agg(F.sum("conflicting_serials")).first()[0] == 0
     counted = types_per_sequence(received_serials(events))
     assert sorted(map(repr, types_from_blocks(typed).collect())) == sorted(map(repr, counted.collect()))
 
 
+@pytest.mark.parametrize("year", [1, 1969, 1970, 2022, 4200])
+def test_copies_are_ordered_by_arrival_in_any_year(spark, summarise, year):
+    at = datetime(year, 6, 1, tzinfo=timezone.utc)
+    rows = [(1, s, 0, at + timedelta(microseconds=us), kind) for s in (0, 63, 64, 130) for us, kind in ((1, DOWN), (2, CREATE))]
+    row = summarise(spark.createDataFrame(rows, EVENTS)).first()
+    assert (row["first_event_type"], row["last_event_type"]) == (DOWN, DOWN)
+    assert (row["first_serial_id"], row["last_serial_id"], row["received_events"]) == (0, 130, 4)
+
+
+def test_summary_against_brute_force(spark, summarise):
+    dice = random.Random(5)
+    rows = [
+        (dice.randrange(20), dice.choice([0, 1, 2, 62, 63, 64, 65, 127, 128, 1000]), 0,
+         HOUR + timedelta(seconds=dice.randrange(5)), dice.choice([PAGE, CREATE, CHANGE, DOWN]))
+        for _ in range(800)]
+    found = by_sequence(summarise(spark.createDataFrame(rows, EVENTS)))
+    for sequence, row in found.items():
+        own = sorted((serial, arrival, kind) for s, serial, _, arrival, kind in rows if s == sequence)
+        serials = sorted({serial for serial, *_ in own})
+        last = min((arrival, kind) for serial, arrival, kind in own if serial == serials[-1])
+        assert (row["first_serial_id"], row["last_serial_id"]) == (serials[0], serials[-1])
+        assert (row["received_events"], row["duplicate_events"]) == (len(serials), len(own) - len(serials))
+        assert row["lost_events"] == serials[-1] + 1 - len(serials)
+        assert (row["first_event_type"], row["last_event_type"]) == (own[0][2], last[1])
+
+
 def test_typed_blocks_report_conflicting_copies(make_events):
     events = make_events([(1, 0, PAGE), (1, 0, DOWN), (1, 0, CREATE), (1, 1, PAGE), (1, 1, PAGE), (2, 0, PAGE)])
-    conflicts = by_sequence(facts_from_blocks(typed_blocks(events)))
+    conflicts = by_sequence(sequence_facts(events))
     assert {key: row["conflicting_serials"] for key, row in conflicts.items()} == {1: 2, 2: 0}
