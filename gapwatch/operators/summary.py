@@ -131,8 +131,13 @@ def sequence_summary(
     window_start: Column | None = None,
 ) -> DataFrame:
     """``summary_of`` straight from events."""
-    if window_start is None and segment == ALL_SEGMENTS:
-        # Over all events the minimum is a scan of one column, without a
-        # shuffle. For one segment it needs the segment, so it goes by sequence.
-        window_start = window_start_of(events)
+    if window_start is None:
+        # Asked of the events, the earliest arrival is a scan of one column,
+        # or for one segment a single grouping by sequence. Asked of the facts
+        # it would fold the events a second time.
+        scope = events.select("arrival")
+        if segment != ALL_SEGMENTS:
+            earliest = events.groupBy("sequence_id").agg(F.min("arrival").alias("arrival"))
+            scope = filter_segment(attach_registry(earliest, registry), segment, segments)
+        window_start = window_start_of(scope)
     return summary_of(sequence_facts(events), registry, segment, segments, window_start)
