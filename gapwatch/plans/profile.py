@@ -22,8 +22,10 @@ def _tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [frame.select(F.lit(name).alias(tag), "*") for name, frame in frames.items()])
 
 
-def file_measures(files: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def file_measures(files: dict[str, DataFrame], until: ExitStack) -> dict[str, DataFrame]:
     """Measures of the raw files, which carry the payload fields."""
+    # A few rows, kept: row counts and absent fields come from one parse of each file.
+    fields = keep(_tagged_union({n: measures.null_profile(f, only_absent=False) for n, f in files.items()}, "file"), until)
     event_files = {name: frame for name, frame in files.items() if name != feed.REGISTRY_FILE}
     duplicates = {
         name: measures.duplicate_profile(
@@ -44,8 +46,8 @@ def file_measures(files: dict[str, DataFrame]) -> dict[str, DataFrame]:
         (F.col("serialId") == 0).alias("serial_0"), F.col("clientSize").isNotNull().alias("has_client_size")
     )
     return {
-        "file_rows": _tagged_union({n: f.agg(F.count(F.lit(1)).alias("rows")) for n, f in files.items()}, "file"),
-        "absent_fields": _tagged_union({n: measures.null_profile(f) for n, f in files.items()}, "file"),
+        "file_rows": fields.groupBy("file").agg(F.max("rows").alias("rows")),
+        "absent_fields": fields.filter("absent > 0"),
         "duplicates_within_file": _tagged_union(duplicates, "file"),
         "boolean_values": _tagged_union(booleans, "field"),
         "page_change_size_fields": measures.grouped_counts(sizes, "serial_0", "has_client_size"),
@@ -88,5 +90,6 @@ def profile(spark: SparkSession, data_dir: str, out_dir: str) -> None:
         serials = keep(ordered.received_serials(events), until)
         facts = keep(sequence_facts(events), until)
         registry = feed.load_registry(spark, data_dir)
-        for name, measure in {**file_measures(files), **event_measures(events, registry, serials, facts)}.items():
+        found = {**file_measures(files, until), **event_measures(events, registry, serials, facts)}
+        for name, measure in found.items():
             write_json(measure, f"{out_dir.rstrip('/')}/{name}")
