@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwatch.llm import kdtree, quality
+from gapwatch.llm import kdtree, neardup, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +24,12 @@ def kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {"op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
+    return {"op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
