@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_POWERS = np.ones(64, dtype=np.uint64)
+_POWERS = np.ones(1, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,7 +22,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     if len(_POWERS) < n:
-        powers = np.full(max(n, 2 * len(_POWERS)), _BASE, dtype=np.uint64)
+        powers = np.full(max(n, 64, 2 * len(_POWERS)), _BASE, dtype=np.uint64)
         powers[0] = 1
         _POWERS = np.multiply.accumulate(powers)
     return _POWERS
