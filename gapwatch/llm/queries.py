@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwatch.llm import kdtree, neardup, quality
+from gapwatch.llm import automaton, kdtree, neardup, packing, quality
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer file, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +35,26 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_documents(spark, sf_dir))
 
 
+def packed_sequences(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, tokenizer_path(), tokens=2048, segments=256, loss_tokens=2048).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "segment", "loss_tokens")
+
+
+def vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_sequences(_documents(spark, sf_dir))
+
+
+def bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = automaton.encode_and_decode(_documents(spark, sf_dir), tokenizer_path())
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {"op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
+    return {"op1_vector_packing": vector_packing, "op4_bpe_automaton": bpe_automaton, "op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
