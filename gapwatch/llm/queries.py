@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwatch.llm import automaton, kdtree, neardup, packing, quality
+from gapwatch.llm import automaton, kdtree, langid, neardup, packing, quality, toxicity
 
 
 def tokenizer_path() -> str:
@@ -53,8 +53,30 @@ def bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _remainder(of: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = langid.fit_languages(docs, _remainder(5) != 0)
+    return langid.identify_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def scored_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns of ``docs``, with ``score`` and ``predicted``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.score_toxicity(docs, toxicity.fit_lexicon(docs, labels, _remainder(3) != 1))
+
+
+def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = scored_toxicity(spark, _documents(spark, sf_dir), sf_dir)
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict:
-    return {"op1_vector_packing": vector_packing, "op4_bpe_automaton": bpe_automaton, "op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
+    return {"op5_language_id": language_id, "op7_lexicon_toxicity": lexicon_toxicity, "op1_vector_packing": vector_packing, "op4_bpe_automaton": bpe_automaton, "op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
