@@ -114,7 +114,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_languages(
-    docs: DataFrame, trains: Column, fit_rows: int = 10_000, least_count: int = 3, most_items: int = 300_000,
+    docs: DataFrame, trains: Column, fit_rows: int = 5_000, least_count: int = 3, most_items: int = 100_000,
     text_column: str = "text", lang_column: str = "lang",
 ) -> LanguageModel:
     """Frequencies of words and n-grams per language from documents with a language.

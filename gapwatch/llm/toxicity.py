@@ -187,16 +187,15 @@ def _chosen(rows: list, n_toxic: int, n_other: int) -> dict[str, float]:
     counts = {r["stem"]: (r["toxic"], r["other"]) for r in rows}
     weight = {
         s: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_other + 1)) for s, (a, b) in counts.items()}
+    children: dict[str, list[str]] = {}
+    for stem in counts:
+        children.setdefault(stem[:-1], []).append(stem)
     chosen: dict[str, float] = {}
     for stem in sorted(counts, key=len):
         if any(stem[:n] in chosen for n in range(SHORTEST_STEM, len(stem))):
             continue
         longest = stem
-        while True:
-            longer = [s for s in counts if len(s) == len(longest) + 1 and s.startswith(longest)
-                      and counts[s][0] >= 0.9 * counts[stem][0]]
-            if not longer:
-                break
+        while longer := [s for s in children.get(longest, ()) if counts[s][0] >= 0.9 * counts[stem][0]]:
             longest = longer[0]
         chosen[longest] = weight[longest]
     return chosen
@@ -217,7 +216,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit_lexicon(
-    docs: DataFrame, labels: DataFrame, trains: Column, fit_rows: int = 10_000, least_docs: int = 6,
+    docs: DataFrame, labels: DataFrame, trains: Column, fit_rows: int = 8_000, least_docs: int = 8, least_share: float = 0.015,
     exceptions: tuple[str, ...] = EXCEPTIONS, id_column: str = "doc_id", text_column: str = "text",
 ) -> Lexicon:
     """Lexicon and score from labelled documents.
@@ -225,6 +224,7 @@ def fit_lexicon(
     ``trains`` is a condition on ``doc_id`` of the labels. At most about
     ``fit_rows`` labelled rows are used, chosen by a hash of the id: this
     bounds what is broadcast (their ids) and collected (stems, two numbers per row).
+    A stem must occur in ``least_docs`` toxic documents and in ``least_share`` of them.
     With no toxic or no other document among them the known words alone score.
     """
     rows = labels.filter(trains & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
@@ -243,7 +243,8 @@ def fit_lexicon(
             return Lexicon(known, exceptions)
         stems = sample.select("toxic", "words").mapInArrow(_count_stems, "stem string, toxic bigint, other bigint").groupBy(
             "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        told = stems.filter((F.col("toxic") >= least_docs) & (F.col("toxic") >= 4 * F.col("other")))
+        least = max(least_docs, least_share * sizes[1])
+        told = stems.filter((F.col("toxic") >= least) & (F.col("toxic") >= 4 * F.col("other")))
         seen = stems.filter(F.col("stem").isin(list(KNOWN)) & (F.col("toxic") + F.col("other") >= least_docs))
         chosen = _chosen(told.orderBy(F.desc("toxic"), "stem").limit(20_000).collect(), sizes[1], sizes[0])
         known = {w: v for w, v in known.items() if w not in {r["stem"] for r in seen.select("stem").collect()}}
