@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gapwatch.llm.common import small_batches
 
-LONGEST = 5
+LONGEST = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -47,45 +47,44 @@ class LanguageModel:
 
 
 class Identifier:
-    def __init__(self, model: LanguageModel, most: int = 200_000):
+    def __init__(self, model: LanguageModel, most: int = 300_000):
         self._model, self._most = model, most
-        self._rows: dict[str, int] = {}
-        self._table = np.zeros((1024, len(model.languages) + 1))
+        self._known: dict[str, tuple] = {}
+        self._word_scores = [tuple(r) for r in model.word_scores.tolist()]
+        self._gram_scores = [tuple(r) for r in model.gram_scores.tolist()]
+        self._nothing = (0.0,) * len(model.languages)
 
-    def _word(self, word: str) -> np.ndarray:
-        model = self._model
-        at = model.words.get(word)
+    def _word(self, word: str) -> tuple:
+        at = self._model.words.get(word)
         if at is not None:
-            return model.word_scores[at]
-        for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            seen = [model.grams[g] for g in _grams(word, n) if g in model.grams]
+            return self._word_scores[at]
+        grams = self._model.grams
+        marked = f"<{word}>"
+        for n in range(min(LONGEST, len(marked)), 1, -1):
+            seen = [grams[g] for i in range(len(marked) - n + 1) if (g := marked[i: i + n]) in grams]
             if seen:
-                return model.gram_scores[seen].mean(axis=0)
-        return np.zeros(len(model.languages))
-
-    def _row(self, chunk: str) -> int:
-        """The row of a chunk in the table of chunks met so far: its scores and its number of words."""
-        if len(self._rows) >= self._most:
-            self._rows.clear()
-        at = self._rows[chunk] = len(self._rows)
-        if at >= len(self._table):
-            self._table = np.vstack([self._table, np.zeros_like(self._table)])
-        words = _words(chunk)
-        self._table[at, :-1] = sum((self._word(w) for w in words), np.zeros(len(self._model.languages)))
-        self._table[at, -1] = len(words)
-        return at
+                break
+        else:
+            seen = [grams[g] for g in word if g in grams]
+        if not seen:
+            return self._nothing
+        rows = [self._gram_scores[at] for at in seen]
+        return tuple([sum(column) / len(seen) for column in zip(*rows)])
+
+    def _chunk(self, chunk: str) -> tuple:
+        """The scores of a chunk, summed over its words, and their number."""
+        scores = [self._word(w) for w in _words(chunk)]
+        if len(self._known) >= self._most:
+            self._known.clear()
+        found = (*scores[0], 1) if len(scores) == 1 else (*map(sum, zip(*scores, self._nothing)), len(scores))
+        self._known[chunk] = found
+        return found
 
     def predict(self, text: str) -> tuple[str, float]:
-        total = np.zeros(self._table.shape[1])
-        chunks = text.split()
-        for at in range(0, len(chunks), 50_000):  # fewer than the table holds
-            part = chunks[at: at + 50_000]
-            if len(self._rows) + len(part) >= self._most:
-                self._rows.clear()
-            rows = self._rows
-            index = np.fromiter((rows[c] if c in rows else self._row(c) for c in part), np.int64, len(part))
-            total += self._table[index].sum(axis=0)
-        if not total[-1] or not self._model.languages:
+        known = self._known
+        rows = [known.get(c) or self._chunk(c) for c in text.split()]
+        total = np.array([sum(column) for column in zip(*rows)])
+        if not rows or not total[-1] or not self._model.languages:
             return "und", 0.0
         share = np.exp(total[:-1] - total[:-1].max())
         share /= share.sum()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwatch.llm import automaton, kdtree, langid, neardup, packing, quality, toxicity
+from gapwatch.llm import automaton, fingerprints, kdtree, langid, mixing, neardup, packing, quality, toxicity
 
 
 def tokenizer_path() -> str:
@@ -75,8 +75,18 @@ def lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def feature_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edited(_documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("digest")).alias("fingerprint"),
+        F.lower(F.hex("edited_digest")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score_texts(_documents(spark, sf_dir), _remainder(10) == 0)
+
+
 def queries() -> dict:
-    return {"op5_language_id": language_id, "op7_lexicon_toxicity": lexicon_toxicity, "op1_vector_packing": vector_packing, "op4_bpe_automaton": bpe_automaton, "op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
+    return {"op2_context_mixing": context_mixing, "op6_feature_fingerprints": feature_fingerprints, "op5_language_id": language_id, "op7_lexicon_toxicity": lexicon_toxicity, "op1_vector_packing": vector_packing, "op4_bpe_automaton": bpe_automaton, "op8_near_duplicates": near_duplicates, "op9_line_quality": line_quality, "op10_kd_sharding": kd_sharding}
 
 
 def oracle_sql() -> dict[str, str]:

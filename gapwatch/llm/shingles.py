@@ -28,13 +28,17 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One hash per word of the text, A-Z lower-cased; words are cut at the six white space characters."""
-    raw = _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+def lowered(text: str) -> np.ndarray:
+    """The UTF-8 bytes of the text, A-Z lower-cased."""
+    return _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+
+
+def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and length of each word; words are cut at the six white space characters."""
     space = _IS_SPACE[raw]
     inside = ~space
     if not inside.any():
-        return np.empty(0, dtype=np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     starts = np.flatnonzero(inside & np.concatenate(([True], space[:-1])))
     ends = np.flatnonzero(inside & np.concatenate((space[1:], [True]))) + 1
     lengths = ends - starts
@@ -42,7 +46,13 @@ def word_hashes(text: str) -> np.ndarray:
     firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     within = np.arange(len(places)) - np.repeat(firsts, lengths)
     terms = (raw[places].astype(np.uint64) + np.uint64(1)) * _powers(int(lengths.max()))[within]
-    return mixed(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashes = mixed(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return hashes, starts, lengths
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """One hash per word of the text, A-Z lower-cased."""
+    return word_spans(lowered(text))[0]
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
