@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -193,6 +194,12 @@ def _single() -> dict[str, Query]:
     }
 
 
+#: The operators of training-data pipelines are there only if their folder is.
+_HAS_LLM = importlib.util.find_spec("gapwatch.llm") is not None
+if _HAS_LLM:
+    from gapwatch.llm import queries as llm_queries
+
+
 def _in_utc(query: Query) -> Query:
     return lambda spark, sf_dir: _portable(query(use_utc(spark), sf_dir))
 
@@ -204,12 +211,15 @@ def queries() -> dict[str, Query]:
         registered[name] = query_of(_CLICKS)
         registered[f"{name}_b"] = query_of(_LINES)
     registered.update(_single())
-    return {name: _in_utc(query) for name, query in registered.items()}
+    registered = {name: _in_utc(query) for name, query in registered.items()}
+    if _HAS_LLM:
+        registered.update(llm_queries.queries())
+    return registered
 
 
 def oracle_sql() -> dict[str, str]:
     """For each key of ``queries()``, SQL for DuckDB over the same tables."""
-    return oracle_queries.all_queries()
+    return oracle_queries.all_queries() | (llm_queries.oracle_sql() if _HAS_LLM else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
