@@ -273,8 +273,11 @@ def near_duplicates(
     # Buckets that still hold several components, compared in blocks.
     placed = members.join(labels, "node", "left").select(
         "band", "node", "members", F.coalesce("component", "node").alias("component"))
+    # Of buckets with the same members (near copies share many bands) one is compared.
     open_buckets = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("band")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("bag"), F.sum(F.shiftright(F.xxhash64("node", F.lit(1)), 24)).alias("sum"),
+    ).filter("low != high").groupBy("n", "bag", "sum").agg(F.min("band").alias("band")).select("band")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = placed.join(open_buckets, "band").join(candidates.select("node", "n_shingles", "signature"), "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
