@@ -9,7 +9,7 @@
    similarity, corrected for chance collisions of b bits, is clearly too low end here.
 3. The remaining pairs are confirmed on their whole shingle sets.
 4. Buckets whose members are still in different components are compared in
-   full, in blocks of bounded size, and new pairs confirmed: the components
+   full, in blocks of bounded size, each with the sets of its rows: the components
    are those of all links between members of a bucket, but no clique is ever spelled out.
 5. Components by alternating star contraction, each step written.
 """
@@ -137,33 +137,52 @@ def _confirm(percent: int):
     return confirm
 
 
-def _compare_blocks(percent: int):
-    """All likely pairs of different components among the rows of a block pair."""
+def _link_blocks(percent: int):
+    """Links that join components among the rows of a block pair, confirmed on whole sets.
+
+    Pairs of one component, as far as it is known here, need no check, so a group
+    of copies costs a link per copy; each row's set is made once.
+    """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
     floor = least_estimate(percent / 100)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, ["band", "first_block", "second_block"]):
             nodes, parts, sizes, block = (
                 rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "block"))
             first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
             signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(nodes), -1)
-            left = np.flatnonzero(block == first)
+            texts = rows.column("packed_text")
+            sets: dict[int, frozenset] = {}
+
+            def set_of(i: int) -> frozenset:
+                if i not in sets:
+                    sets[i] = frozenset(_unpacked_set(texts[i].as_py()).tolist())
+                return sets[i]
+
+            parts = parts.copy()
             right = np.flatnonzero(block == second)
             kept: dict[str, list] = {"u": [], "v": []}
-            for i in left:
+            for i in np.flatnonzero(block == first):
                 against = right[right > i] if first == second else right
                 against = against[
                     (parts[against] != parts[i])
                     & (100 * np.minimum(sizes[against], sizes[i]) >= percent * np.maximum(sizes[against], sizes[i]))]
-                if len(against):
-                    likely = against[estimated(signatures[i], signatures[against]) >= floor]
-                    kept["u"].extend(np.minimum(nodes[i], nodes[likely]).tolist())
-                    kept["v"].extend(np.maximum(nodes[i], nodes[likely]).tolist())
+                if not len(against):
+                    continue
+                for j in against[estimated(signatures[i], signatures[against]) >= floor].tolist():
+                    if parts[j] == parts[i]:
+                        continue
+                    one, other = set_of(int(i)), set_of(j)
+                    common = len(one & other)
+                    if 100 * common >= percent * (len(one) + len(other) - common):
+                        parts[parts == parts[j]] = parts[i]
+                        kept["u"].append(int(min(nodes[i], nodes[j])))
+                        kept["v"].append(int(max(nodes[i], nodes[j])))
             if kept["u"]:
                 yield table(kept, schema)
 
-    return compare
+    return link
 
 
 def _likely(percent: int):
@@ -255,19 +274,18 @@ def near_duplicates(
             F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
             F.first("packed_text").alias("packed_text")), "candidates")
 
-    def confirmed(pairs: DataFrame, checked: bool) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         one = candidates.select(*(F.col(c).alias(f"u_{c}") for c in candidates.columns))
         other = candidates.select(*(F.col(c).alias(f"v_{c}") for c in candidates.columns))
-        if not checked:
-            pairs = pairs.join(one.drop("u_packed_text"), F.col("u") == F.col("u_node")).join(
-                other.drop("v_packed_text"), F.col("v") == F.col("v_node")).filter(
-                100 * F.least("u_n_shingles", "v_n_shingles") >= percent * F.greatest("u_n_shingles", "v_n_shingles")
-            ).select("u", "v", "u_signature", "v_signature").mapInArrow(_likely(percent), "u bigint, v bigint")
+        pairs = pairs.join(one.drop("u_packed_text"), F.col("u") == F.col("u_node")).join(
+            other.drop("v_packed_text"), F.col("v") == F.col("v_node")).filter(
+            100 * F.least("u_n_shingles", "v_n_shingles") >= percent * F.greatest("u_n_shingles", "v_n_shingles")
+        ).select("u", "v", "u_signature", "v_signature").mapInArrow(_likely(percent), "u bigint, v bigint")
         with_texts = pairs.join(one, F.col("u") == F.col("u_node")).join(other, F.col("v") == F.col("v_node")).select(
             "u", "v", F.col("u_packed_text").alias("u_text"), F.col("v_packed_text").alias("v_text"))
         return written(with_texts.mapInArrow(_confirm(percent), "u bigint, v bigint"), "confirmed")
 
-    links = confirmed(stars, False)
+    links = confirmed(stars)
     labels = written(components(links), "components")
 
     # Buckets that still hold several components, compared in blocks.
@@ -279,14 +297,13 @@ def near_duplicates(
         F.bit_xor(F.xxhash64("node")).alias("bag"), F.sum(F.shiftright(F.xxhash64("node", F.lit(1)), 24)).alias("sum"),
     ).filter("low != high").groupBy("n", "bag", "sum").agg(F.min("band").alias("band")).select("band")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = placed.join(open_buckets, "band").join(candidates.select("node", "n_shingles", "signature"), "node")
+    rows = placed.join(open_buckets, "band").join(candidates, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "band", "node", "component", "n_shingles", "signature", "block",
+        "band", "node", "component", "n_shingles", "signature", "packed_text", "block",
         F.least("block", "other").alias("first_block"), F.greatest("block", "other").alias("second_block"))
-    pairs = rows.repartition("band", "first_block", "second_block").sortWithinPartitions(
-        "band", "first_block", "second_block").mapInArrow(_compare_blocks(percent), "u bigint, v bigint").distinct()
-    more = confirmed(pairs, True)
+    more = written(rows.repartition("band", "first_block", "second_block").sortWithinPartitions(
+        "band", "first_block", "second_block").mapInArrow(_link_blocks(percent), "u bigint, v bigint").distinct(), "confirmed")
     # The second contraction works on components, not on nodes.
     label_of = lambda n: labels.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component"))
     joined = more.join(label_of("u"), "u", "left").join(label_of("v"), "v", "left").select(
