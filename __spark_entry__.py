@@ -65,20 +65,16 @@ class _Reading:
         return summary.typed_blocks(self.events(spark, sf_dir))
 
 
-_CLICKS = _Reading(tables.clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
+_CLICKS = _Reading(tables.clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
 _LINES = _Reading(tables.lines, tables.line_registry, tables.LINE_SEGMENTS, "2-HIGH")
-_COARSE = _Reading(tables.coarse_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
-_STABLE = _Reading(tables.stable_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "BUILDING")
+_COARSE = _Reading(tables.coarse_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
+_STABLE = _Reading(tables.stable_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
 _TURNS = _Reading(tables.turns, tables.click_registry, (), "all")
 
 
 def _event_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events taken apart by type, tagged again and put together."""
-    events = tables.clicks(spark, sf_dir)
-    return feed.union_events({
-        name: events.filter(F.col("event_type") == name).withColumn("event_type", F.lit(name))
-        for name in tables.CLICK_TYPES
-    })
+    """Events of two sources, whole tables with all their types, as one bag."""
+    return feed.union_events({"clicks": tables.clicks(spark, sf_dir), "turns": tables.turns(spark, sf_dir)})
 
 
 def _broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:

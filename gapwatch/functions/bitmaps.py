@@ -7,12 +7,14 @@ copies of a serial arrive. That replaces ``count(DISTINCT serial)``, which
 would send every serial through two shuffles.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLOCK_SHIFT = 6  # 2**6 serials per block: the bits of a long
 LAST_POSITION = (1 << _BLOCK_SHIFT) - 1
-_ARRIVAL_BITS = 63 - _BLOCK_SHIFT
+_ARRIVALS = 1 << 64  # more than the instants a timestamp can hold, in microseconds
 
 
 def block_of(serial: str) -> Column:
@@ -34,21 +36,24 @@ def bits_of(serial: str) -> Column:
 
 
 def copy_order(position: Column, arrival: str) -> Column:
-    """One long that sorts the copies of a block by position, then by arrival.
+    """One number that sorts the copies of a block by position, then by arrival.
 
-    Its minimum is a plain long, which a hash aggregate can keep; a struct
-    would force sorting. The position takes the upper 6 bits and the arrival
-    the 57 below: microseconds up to the year 4253. Copies of one serial that
-    arrive even later count as simultaneous.
+    Its minimum is a plain decimal, which a hash aggregate can keep; a struct
+    would force sorting. Every instant of a timestamp has its own place; a
+    null arrival comes before all of them, as in ``received_serials``.
     """
-    half = 1 << (_ARRIVAL_BITS - 1)
-    lower = F.least(F.unix_micros(arrival), F.lit(half - 1)) + F.lit(half)
-    return position * F.lit(1 << _ARRIVAL_BITS) + lower
+    instant = F.unix_micros(arrival).cast("decimal(20,0)") + F.lit(Decimal(_ARRIVALS // 2))
+    upper = position.cast("decimal(3,0)") * F.lit(Decimal(_ARRIVALS))
+    return (upper + F.coalesce(instant, F.lit(Decimal(0)))).cast("decimal(24,0)")
 
 
 def ordered_position(order: str) -> Column:
-    """The position a ``copy_order`` value was made from."""
-    return F.shiftright(order, _ARRIVAL_BITS)
+    """The position a ``copy_order`` value was made from.
+
+    Instants of timestamps lie near the middle of their range, so the rounding
+    of the quotient can't carry into the position.
+    """
+    return F.floor(F.col(order) / F.lit(Decimal(_ARRIVALS))).cast("bigint")
 
 
 def _text(bits) -> Column:

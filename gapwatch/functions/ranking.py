@@ -1,22 +1,26 @@
-"""Share of the total and competition rank for small aggregates."""
+"""Share of the total and rank for small aggregates, from one array of all their rows."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def with_share_and_rank(counts: DataFrame, measure: str, share: str, label: str) -> DataFrame:
-    """Add ``share`` and ``rank`` (equal measures share a rank) and sort by rank, then label.
+    """Add ``share`` and ``rank`` and sort by rank, then label.
 
-    The windows have no partition key. Their input is one row per label of an
-    aggregate (event types), so a single task handles it whatever the number
-    of events.
+    ``counts`` has one row per label of an aggregate (event types), few enough
+    for an array. A row's rank is one more than the number of larger measures,
+    so equal measures share it; the total is the array's sum.
     """
-    everything = Window.partitionBy()
-    by_measure = Window.orderBy(F.desc(measure))
-    return counts.select(
-        "*",
-        F.round(F.col(measure) / F.sum(measure).over(everything), 4).alias(share),
-        F.rank().over(by_measure).cast("bigint").alias("rank"),
+    rows = counts.agg(F.collect_list(F.struct(*counts.columns)).alias("rows"))
+    sized = rows.select(
+        "rows", F.transform("rows", lambda row: row[measure]).alias("measures")
+    ).select("rows", "measures", F.aggregate("measures", F.lit(0).cast("bigint"), lambda total, m: total + m).alias("total"))
+    row = sized.select(F.explode("rows").alias("row"), "measures", "total")
+    larger = F.size(F.filter("measures", lambda m: m > F.col(f"row.{measure}")))
+    return row.select(
+        "row.*",
+        F.round(F.col(f"row.{measure}") / F.col("total"), 4).alias(share),
+        (larger + 1).cast("bigint").alias("rank"),
     ).orderBy("rank", label)
 
 

@@ -3,33 +3,23 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A sequence with more rows than this is split. There are at most
-# (rows / HEAVY_ROWS) such sequences, a million in ten trillion rows, which
-# bounds what is broadcast below to some tens of megabytes.
-HEAVY_ROWS = 10_000_000
+# Every sequence is cut into this many parts.
+PARTS = 32
 
 
-def look_up(rows: DataFrame, per_sequence: DataFrame, how: str = "left", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def look_up(rows: DataFrame, per_sequence: DataFrame, how: str = "left", parts: int = PARTS) -> DataFrame:
     """``rows`` joined to the one row their sequence has in ``per_sequence``.
 
-    A plain join brings all rows of a sequence to one task. Heavy sequences
-    are therefore counted out first and cut into parts, by the input partition
-    a row comes from, and their row of ``per_sequence`` is repeated once per
-    part. All other sequences have one part. (Skew handling at run time would
-    not help: it needs a shuffle right below both sides of the join, and the
-    per-sequence side is usually an aggregate.)
+    A plain join brings all rows of a sequence to one task. Here a hash of the
+    whole row picks one of ``parts`` parts, wherever the row is read, and the
+    sequence's row is repeated once per part, so a sequence with most rows is
+    joined in as many tasks. (Skew handling at run time would not help: it
+    needs a shuffle right below both sides of the join, and the per-sequence
+    side is usually an aggregate.) Equal rows share a part. Where one side is
+    small Spark broadcasts it and shuffles neither.
     """
-    parts = F.ceil(F.col("rows") / heavy_rows)
-    heavy = F.broadcast(
-        rows.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > heavy_rows)
-        .select("sequence_id", parts.alias("parts"))
-    )
-    part = F.pmod(F.spark_partition_id().cast("bigint"), F.coalesce("parts", F.lit(1)))
-    # Rows without a key match nothing, so they may go anywhere.
-    part = F.when(F.col("sequence_id").isNull(), F.spark_partition_id().cast("bigint")).otherwise(part)
-    cut = rows.join(heavy, "sequence_id", "left").withColumn("part", part).drop("parts")
-
-    every_part = F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1)
-    repeated = per_sequence.join(heavy, "sequence_id", "left").withColumn("part", F.explode(every_part)).drop("parts")
-    return cut.join(repeated, ["sequence_id", "part"], how).drop("part")
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    return rows.withColumn("part", part).join(
+        per_sequence.withColumn("part", every_part), ["sequence_id", "part"], how
+    ).drop("part")

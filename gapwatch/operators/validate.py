@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 from gapwatch.functions.payload import leaf_fields
 
 
-def _bad(column: str, may_be_negative: bool) -> Column:
-    missing = F.col(column).isNull()
-    return missing if may_be_negative else missing | (F.col(column) < 0)
+# What a run requires of each column: a value, and where there is one the least it may be.
+REQUIRED: dict[str, int | None] = {"sequence_id": None, "serial_id": 0, "offset_ms": 0, "arrival": None}
 
 
-def _problems() -> dict[str, Column]:
-    return {
-        "sequence_id is missing": _bad("sequence_id", True),
-        "serial_id is missing or negative": _bad("serial_id", False),
-        "offset_ms is missing or negative": _bad("offset_ms", False),
-        "arrival is missing": _bad("arrival", True),
-    }
+def _broken(column: str, least: int | None) -> Column:
+    """Whether a row breaks the column's rule; a null breaks every rule."""
+    holds = F.col(column).isNotNull() if least is None else F.col(column) >= least
+    return ~F.coalesce(holds, F.lit(False))
+
+
+def _described(column: str, least: int | None) -> str:
+    return f"{column} is missing" + ("" if least is None else " or negative" if least == 0 else f" or below {least}")
+
+
+def _problems(required: dict[str, int | None] = REQUIRED) -> dict[str, Column]:
+    return {_described(column, least): _broken(column, least) for column, least in required.items()}
 
 
 def violations(events: DataFrame) -> DataFrame:
@@ -36,9 +40,9 @@ def assert_valid(events: DataFrame) -> DataFrame:
     Run it before any segment filter: a row that lost its key matches no
     registry row, so a filter would hide it.
     """
-    found = {row["problem"]: row["rows"] for row in violations(events).filter("rows > 0").collect()}
-    if found:
-        raise ValueError(f"invalid events (rows per problem): {found}")
+    broken = violations(events).filter("rows > 0").orderBy("problem").collect()
+    if broken:
+        raise ValueError("; ".join(f"{row['problem']} in {row['rows']} events" for row in broken))
     return events
 
 

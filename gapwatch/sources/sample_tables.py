@@ -2,12 +2,13 @@
 
 Readings, so that every measure meets data it has something to find in:
 
-* *clicks*: ``events`` by user, with ``customer`` as registry. Arrival times are
-  unique; serials repeat and have holes.
+* *clicks*: ``events`` by user, with ``supplier`` as registry (its nation is the
+  segment), which lacks part of the users. Arrival times are unique; serials
+  repeat and have holes.
 * *coarse clicks*: the same with offsets rounded down so that they tie.
 * *stable clicks*: the same with types that agree between copies.
 * *lines*: ``lineitem`` by order, with ``orders`` as registry. Many short
-  sequences; arrivals tie, and both sides have keys the other lacks.
+  sequences; arrivals tie, and some orders have no line.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from gapwatch.sources.tables import events_from, registry_from
 
 CLICK_TYPES = ("click", "error", "purchase", "signup", "view")
-CLICK_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+CLICK_SEGMENTS = tuple(str(nation) for nation in range(25))
 LINE_SEGMENTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
@@ -50,8 +51,8 @@ def stable_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = read(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    return registry_from(known, sequence_id="c_custkey", segment="c_mktsegment")
+    suppliers = read(spark, sf_dir, "supplier")
+    return registry_from(suppliers, sequence_id="s_suppkey", segment=F.col("s_nationkey").cast("string"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +68,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = read(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    return registry_from(known, sequence_id="o_orderkey", segment="o_orderpriority", registered_at="o_orderdate")
+    orders = read(spark, sf_dir, "orders")
+    return registry_from(orders, sequence_id="o_orderkey", segment="o_orderpriority", registered_at="o_orderdate")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ received AS (
   FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
 ),
 registry AS (
-  SELECT c_custkey AS sequence_id, c_mktsegment AS segment, CAST(NULL AS TIMESTAMP) AS registered_at
-  FROM customer WHERE c_acctbal > 0
+  SELECT s_suppkey AS sequence_id, CAST(s_nationkey AS VARCHAR) AS segment, CAST(NULL AS TIMESTAMP) AS registered_at
+  FROM supplier
 )"""
 _COARSE = _CLICKS.replace("k * 60000 + CAST(floor(value * 1000) AS BIGINT)", "(k // 4) * 240000")
 _STABLE = _CLICKS.replace(
@@ -28,7 +28,7 @@ received AS (
 ),
 registry AS (
   SELECT o_orderkey AS sequence_id, o_orderpriority AS segment, o_orderdate AS registered_at
-  FROM orders WHERE o_orderstatus <> 'P'
+  FROM orders
 )"""
 _TURNS = """
 received AS (
@@ -37,8 +37,8 @@ received AS (
   FROM conversations
 ),
 registry AS (
-  SELECT c_custkey AS sequence_id, c_mktsegment AS segment, CAST(NULL AS TIMESTAMP) AS registered_at
-  FROM customer WHERE c_acctbal > 0
+  SELECT s_suppkey AS sequence_id, CAST(s_nationkey AS VARCHAR) AS segment, CAST(NULL AS TIMESTAMP) AS registered_at
+  FROM supplier
 )"""
 
 
@@ -275,8 +275,14 @@ def all_queries() -> dict[str, str]:
     attached_columns = " SELECT * FROM attached"
     sql: dict[str, str] = {
         **_pairs("registry_attach", lambda s: _attached(s, None) + attached_columns),
-        "event_union": f"WITH {_CLICKS} SELECT * FROM received",
-        "segment_filtered": _attached(_CLICKS, "BUILDING") + attached_columns,
+        "event_union": """
+          SELECT user_id AS sequence_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS serial_id,
+                 CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) * 60000 + CAST(floor(value * 1000) AS BIGINT) AS offset_ms,
+                 ts AS arrival, event_type
+          FROM events
+          UNION ALL
+          SELECT conv_id, turn, turn * 1000, make_timestamp(turn * 1000000), role FROM conversations""",
+        "segment_filtered": _attached(_CLICKS, "7") + attached_columns,
         "segment_filtered_b": _attached(_LINES, "2-HIGH") + attached_columns,
         "required_field_violations": """
 SELECT 'sequence_id is missing' AS problem, count(*) FILTER (WHERE event_type = 'signup' AND value < 5) AS rows FROM events
@@ -286,7 +292,7 @@ UNION ALL SELECT 'offset_ms is missing or negative', count(*) FILTER (WHERE floo
 UNION ALL SELECT 'arrival is missing', count(*) FILTER (WHERE event_type = 'error' AND value < 2) FROM events""",
         **_pairs("sequence_summary", lambda s: _summarised(s) + " SELECT * FROM summary"),
         "sequence_summary_control": _summarised(_TURNS) + " SELECT * FROM summary",
-        "sequence_summary_segment": _summarised(_CLICKS, "BUILDING") + " SELECT * FROM summary",
+        "sequence_summary_segment": _summarised(_CLICKS, "7") + " SELECT * FROM summary",
         "sequence_summary_segment_b": _summarised(_LINES, "2-HIGH") + " SELECT * FROM summary",
         "sequence_summary_stable": _summarised(_STABLE) + " SELECT * FROM summary",
         "frequency_from_blocks": _attached(_STABLE, None) + f",{_FREQUENCY} SELECT * FROM frequency",
@@ -302,10 +308,10 @@ FROM (SELECT sequence_id, serial_id, count(DISTINCT event_type) AS types FROM re
         **_pairs("last_event_types",
                  lambda s: _summarised(s) + f",{_LAST_COUNTS},{_LAST_TYPES} SELECT * FROM last_types"),
         **_pairs("event_type_frequency", lambda s: _attached(s, None) + f",{_FREQUENCY} SELECT * FROM frequency"),
-        "event_type_frequency_segment": _attached(_CLICKS, "BUILDING") + f",{_FREQUENCY} SELECT * FROM frequency",
+        "event_type_frequency_segment": _attached(_CLICKS, "7") + f",{_FREQUENCY} SELECT * FROM frequency",
         "event_type_frequency_segment_b": _attached(_LINES, "2-HIGH") + f",{_FREQUENCY} SELECT * FROM frequency",
         **_pairs("run_summary", lambda s: _run_summary(s, "all")),
-        "run_summary_segment": _run_summary(_CLICKS, "BUILDING", "BUILDING"),
+        "run_summary_segment": _run_summary(_CLICKS, "7", "7"),
         "run_summary_segment_b": _run_summary(_LINES, "2-HIGH", "2-HIGH"),
         "null_profile": f"""WITH {_PAYLOAD}
 SELECT * FROM (
