@@ -51,13 +51,13 @@ def test_counts_keep_null_as_a_value(spark):
 def test_ranges(make_events):
     events = make_events([(1, 0, PAGE, 55), (2, 3, DOWN, 4000)])
     assert rows_of(measures.offset_range(events)) == [(55, 4000)]
-    assert rows_of(measures.time_range(events, "arrival")) == [("2022-05-11 21:00:01.055", "2022-05-11 21:00:06")]
+    assert rows_of(measures.time_range(events, "arrival")) == [("2031-09-06 13:00:01.055", "2031-09-06 13:00:06")]
 
 
 def test_tumbling_windows_are_labelled_by_start(spark):
     at = [HOUR + timedelta(minutes=m) for m in (0, 4, 5, 59)] + [HOUR + timedelta(days=1, minutes=1)]
     frame = spark.createDataFrame([(t,) for t in at], "t timestamp")
-    assert rows_of(measures.tumbling_counts(frame, "t")) == [("21:00", 3), ("21:05", 1), ("21:55", 1)]
+    assert rows_of(measures.tumbling_counts(frame, "t")) == [("13:00", 3), ("13:05", 1), ("13:55", 1)]
 
 
 def test_first_serials(make_events):

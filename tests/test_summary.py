@@ -23,28 +23,6 @@ def summarise(make_registry):
     return build
 
 
-def _loss(row):
-    return row["missing_prefix"], row["missing_inner"], row["lost_events"], row["duplicate_events"]
-
-
-def test_prefix_inner_gaps_and_duplicates_are_told_apart(make_events, summarise):
-    events = make_events([
-        (1, 0, PAGE), (1, 1, CREATE), (1, 2, CHANGE), (1, 3, DOWN),
-        (2, 0, PAGE), (2, 1, CHANGE), (2, 4, CHANGE),
-        (3, 2, CHANGE), (3, 3, DOWN),
-        (4, 0, PAGE), (4, 1, CHANGE), (4, 1, CHANGE, 1000, 5.0),
-    ])
-    summary = by_sequence(summarise(events))
-    assert {key: _loss(row) for key, row in summary.items()} == {
-        1: (0, 0, 0, 0), 2: (0, 2, 2, 0), 3: (2, 0, 2, 0), 4: (0, 0, 0, 1)}
-    assert summary[4]["received_events"] == 2
-    assert summarise(events).columns == list(SUMMARY_COLUMNS)
-
-
-def test_absent_tail_is_invisible(make_events, summarise):
-    assert summarise(make_events([(1, 0, PAGE), (1, 1, DOWN)])).first()["lost_events"] == 0
-
-
 def test_serials_across_many_blocks(spark, summarise):
     # 0..999 without 63, 64 and 500..699: holes at a block edge and over whole blocks.
     serials = spark.range(1000).filter("id NOT IN (63, 64) AND NOT id BETWEEN 500 AND 699")
@@ -55,53 +33,6 @@ def test_serials_across_many_blocks(spark, summarise):
     assert (row["received_events"], row["missing_inner"], row["duplicate_events"]) == (798, 202, events.filter("serial_id % 3 = 0").count())
 
 
-def test_started_before_window(spark, summarise):
-    rows = [
-        (1, 5, 5000, HOUR + timedelta(seconds=2), CHANGE),
-        (2, 0, 100, HOUR + timedelta(seconds=10, milliseconds=100), PAGE),
-        (2, 1, 900, HOUR + timedelta(seconds=10, milliseconds=900), CHANGE),
-        (3, 3, 20000, HOUR + timedelta(seconds=30), CHANGE),
-    ]
-    summary = by_sequence(summarise(spark.createDataFrame(rows, EVENTS)))
-    assert {key: row["started_before_window"] for key, row in summary.items()} == {1: True, 2: False, 3: False}
-
-
-def test_window_opens_at_the_hour_not_the_earliest_arrival(spark, summarise):
-    rows = [(1, 3, 20000, HOUR + timedelta(seconds=30), CHANGE)]
-    assert summarise(spark.createDataFrame(rows, EVENTS)).first()["started_before_window"] is False
-
-
-def test_the_earliest_bound_counts(spark, summarise):
-    rows = [
-        (1, 1, 5000, HOUR + timedelta(seconds=2), CHANGE),
-        (1, 2, 6000, HOUR + timedelta(seconds=12), DOWN),
-    ]
-    row = summarise(spark.createDataFrame(rows, EVENTS)).select(
-        F.unix_micros("implied_start").alias("us"), "started_before_window").first()
-    assert row["us"] == int((HOUR - timedelta(seconds=3)).timestamp()) * 1_000_000
-    assert row["started_before_window"] is True
-
-
-def test_explicit_window_start(spark, summarise):
-    rows = [(1, 3, 20000, HOUR + timedelta(seconds=30), CHANGE)]
-    frame = spark.createDataFrame(rows, EVENTS)
-    later = summarise(frame, window_start=F.lit(HOUR + timedelta(hours=1)))
-    assert later.first()["started_before_window"] is True
-
-
-def test_window_of_one_segment_comes_from_its_own_events(spark, make_registry):
-    rows = [
-        (1, 0, 0, HOUR, PAGE),
-        (2, 1, 4000, HOUR + timedelta(hours=1, seconds=2), CHANGE),
-    ]
-    registry = make_registry([(1, "phone"), (2, "desktop")])
-    frame = spark.createDataFrame(rows, EVENTS)
-    everything = by_sequence(sequence_summary(frame, registry))
-    desktop = by_sequence(sequence_summary(frame, registry, "desktop", ("phone", "desktop")))
-    assert everything[2]["started_before_window"] is False
-    assert desktop[2]["started_before_window"] is True and list(desktop) == [2]
-
-
 def test_conflicting_copies_the_smallest_arrival_then_type_wins(spark, summarise):
     rows = [
         (1, 0, 0, HOUR + timedelta(seconds=9), CREATE), (1, 0, 0, HOUR + timedelta(seconds=1), PAGE),
@@ -125,109 +56,6 @@ def test_empty_events_give_empty_results(make_events, summarise):
     assert results.lost_buckets(summary).agg(F.sum("sequences")).first()[0] == 0
 
 
-def test_incomplete_means_a_lost_event(make_events, summarise):
-    events = make_events([
-        (1, 0, PAGE), (1, 1, CHANGE),
-        (2, 0, PAGE), (2, 2, CHANGE),
-        (3, 1, CHANGE),
-        (4, 0, PAGE), (4, 1, CHANGE),
-        (5, 0, PAGE), (5, 2, CHANGE),
-        (6, 0, PAGE), (6, 0, PAGE, 0, 3.0),
-    ])
-    summary = summarise(events, [(1, "phone"), (2, "phone"), (3, "phone"), (6, "phone")])
-    incomplete = results.incomplete_sequences(summary)
-    assert rows_of(incomplete, "sequence_id", "segment", "has_registry", "missing_prefix", "missing_inner") == [
-        (2, "phone", True, 0, 1), (3, "phone", True, 1, 0), (5, "unknown", False, 0, 1)]
-
-
-def test_not_from_zero_is_literal(make_events, summarise):
-    events = make_events([
-        (1, 0, PAGE), (1, 1, CHANGE), (2, 1, CREATE), (2, 2, CHANGE), (3, 0, PAGE), (3, 3, DOWN), (4, 7, DOWN)])
-    late = results.not_from_zero(summarise(events))
-    assert rows_of(late, "sequence_id", "first_serial_id", "first_event_type") == [(2, 1, CREATE), (4, 7, DOWN)]
-
-
-def test_histogram_covers_every_sequence(make_events, summarise):
-    summary = summarise(make_events([
-        (1, 0, PAGE), (2, 0, PAGE), (3, 0, PAGE), (3, 2, CHANGE), (4, 3, CHANGE), (5, 0, PAGE), (5, 0, PAGE, 0, 1.0)]))
-    assert rows_of(results.lost_histogram(summary), "lost_events", "sequences") == [(0, 3), (1, 1), (3, 1)]
-    assert rows_of(results.complete_share(summary)) == [(5, 3, 0.6)]
-    filled = results.lost_buckets(summary).filter("sequences > 0")
-    assert rows_of(filled, "bucket", "sequences") == [("1", 1), ("3-5", 1)]
-
-
-def test_histogram_is_split_by_the_window_flag(spark, summarise):
-    rows = [
-        (1, 3, 5000, HOUR + timedelta(seconds=2), CHANGE),
-        (2, 3, 500, HOUR + timedelta(seconds=10), CHANGE),
-    ]
-    summary = summarise(spark.createDataFrame(rows, EVENTS))
-    assert rows_of(results.lost_histogram(summary)) == [(3, 2, 1)]
-    assert rows_of(results.lost_buckets(summary).filter("bucket = '3-5'")) == [(3, "3-5", 2, 1, 1)]
-
-
-@pytest.mark.parametrize("lost, bucket", [
-    (1, "1"), (2, "2"), (3, "3-5"), (5, "3-5"), (6, "6-10"), (10, "6-10"), (11, "11-20"), (20, "11-20"),
-    (21, "21-50"), (50, "21-50"), (51, "51-100"), (100, "51-100"), (101, "101+"), (733, "101+")])
-def test_bucket_edges(spark, lost, bucket):
-    summary = spark.createDataFrame([(lost, False)], "lost_events bigint, started_before_window boolean")
-    assert rows_of(results.lost_buckets(summary).filter("sequences > 0"), "bucket") == [(bucket,)]
-
-
-def test_last_event_is_the_highest_serial_not_the_latest_arrival(make_events, summarise):
-    summary = summarise(make_events([(1, 0, PAGE, 0, 10.0), (1, 1, DOWN)]))
-    assert rows_of(results.last_event_types(summary)) == [(DOWN, 1, 1.0, 1)]
-
-
-def test_last_event_with_tied_offsets(make_events, summarise):
-    summary = summarise(make_events([(1, 0, PAGE, 100), (1, 1, DOWN, 100), (2, 1, DOWN, 100), (2, 0, PAGE, 100)]))
-    assert rows_of(results.last_event_types(summary), "event_type", "sequences") == [(DOWN, 2)]
-
-
-def test_equal_counts_share_a_rank(make_events, summarise):
-    summary = summarise(make_events([
-        (1, 0, PAGE), (1, 1, DOWN), (2, 0, PAGE), (2, 1, CHANGE),
-        (3, 0, PAGE), (3, 1, CHANGE), (3, 2, DOWN), (4, 0, PAGE)]))
-    assert rows_of(results.last_event_types(summary)) == [(DOWN, 2, 0.5, 1), (CHANGE, 1, 0.25, 2), (PAGE, 1, 0.25, 2)]
-
-
-def _frequency(events):
-    return event_type_frequency(types_per_sequence(received_serials(events)))
-
-
-def test_types_count_once_per_serial(make_events):
-    events = make_events([
-        (1, 0, PAGE), (1, 1, CHANGE), (1, 2, CHANGE), (1, 2, CHANGE, 2000, 4.0),
-        (2, 0, PAGE), (2, 1, DOWN), (2, 2, CHANGE)])
-    assert rows_of(_frequency(events)) == [
-        (CHANGE, 3, 2, 2, 0.5, 1), (PAGE, 2, 2, 1, 0.3333, 2), (DOWN, 1, 1, 1, 0.1667, 3)]
-
-
-def test_types_rank_by_volume_not_coverage(make_events):
-    events = make_events([(1, 0, PAGE), (1, 1, CHANGE), (1, 2, CHANGE), (1, 3, CHANGE), (2, 0, PAGE)])
-    assert rows_of(_frequency(events)) == [(CHANGE, 3, 1, 1, 0.6, 1), (PAGE, 2, 2, 1, 0.4, 2)]
-
-
-def test_type_ties_share_rank_one(make_events):
-    events = make_events([(1, 0, PAGE), (1, 1, DOWN)])
-    assert rows_of(_frequency(events), "event_type", "rank") == [(DOWN, 1), (PAGE, 1)]
-
-
-def test_frequency_of_one_segment(make_events, make_registry):
-    events = make_events([(1, 0, PAGE), (1, 1, DOWN), (2, 0, CREATE), (3, 0, CHANGE)])
-    counted = types_per_sequence(received_serials(events))
-    registry = make_registry([(1, "phone"), (2, "desktop")])
-    chosen = event_type_frequency(counted, registry, "phone", ("phone", "desktop"))
-    assert rows_of(chosen, "event_type", "events") == [(DOWN, 1), (PAGE, 1)]
-
-
-def test_winners_keep_ties(make_events, summarise):
-    events = make_events([(1, 0, PAGE), (2, 0, DOWN), (3, 0, PAGE), (3, 1, DOWN), (4, 0, PAGE)])
-    row = results.run_summary(summarise(events), _frequency(events), "all").first()
-    assert row["most_common_last_event_type"] == [DOWN, PAGE]
-    assert row["most_frequent_event_type"] == [PAGE]
-
-
 def test_types_from_blocks_agree_with_counting_serials(spark):
     # Types decided by the serial, arrivals and repeats scattered: no conflicting copies.
     base = spark.range(4000).select(
@@ -242,7 +70,7 @@ def test_types_from_blocks_agree_with_counting_serials(spark):
     assert sorted(map(repr, types_from_blocks(typed).collect())) == sorted(map(repr, counted.collect()))
 
 
-@pytest.mark.parametrize("year", [1, 1969, 1970, 2022, 4200])
+@pytest.mark.parametrize("year", [1, 1969, 1970, 2022, 4200, 4254, 5000, 9999])
 def test_copies_are_ordered_by_arrival_in_any_year(spark, summarise, year):
     at = datetime(year, 6, 1, tzinfo=timezone.utc)
     rows = [(1, s, 0, at + timedelta(microseconds=us), kind) for s in (0, 63, 64, 130) for us, kind in ((1, DOWN), (2, CREATE))]
@@ -251,6 +79,74 @@ def test_copies_are_ordered_by_arrival_in_any_year(spark, summarise, year):
     assert (row["first_serial_id"], row["last_serial_id"], row["received_events"]) == (0, 130, 4)
 
 
+def test_a_null_arrival_is_the_earliest_copy_on_both_paths(spark):
+    rows = [(1, 0, 0, HOUR, DOWN), (1, 0, 0, None, PAGE), (1, 70, 0, None, CREATE), (1, 70, 0, HOUR, CHANGE)]
+    frame = spark.createDataFrame(rows, EVENTS)
+    facts = sequence_facts(frame).first()
+    kept = dict(rows_of(received_serials(frame), "serial_id", "event_type"))
+    assert (facts["first_event_type"], facts["last_event_type"]) == (kept[0], kept[70]) == (PAGE, CREATE)
+
+
+def _random_events(seed):
+    """Rows of twelve sequences over two hours, with holes, copies of one type, and arrivals that vary."""
+    dice = random.Random(seed)
+    kinds = {}
+    return [
+        (n, serial, serial * 700, HOUR + timedelta(minutes=dice.randrange(120), seconds=n),
+         kinds.setdefault((n, serial), dice.choice([PAGE, CREATE, CHANGE, DOWN])))
+        for n in range(12) for serial in (dice.randrange(3 + 9 * n) for _ in range(dice.randrange(1, 40)))]
+
+
+@pytest.mark.parametrize("seed", [3, 8])
+def test_results_against_plain_loops(spark, make_registry, seed):
+    rows = _random_events(seed)
+    segments = {n: ("a", "b")[n % 2] for n in range(9)}
+    events, registry = spark.createDataFrame(rows, EVENTS), make_registry(list(segments.items()))
+    for segment in ("all", "a"):
+        own = [r for r in rows if segment == "all" or segments.get(r[0]) == segment]
+        opens = min(r[3] for r in own).replace(minute=0, second=0)
+        facts = {}
+        for n, serial, offset, arrival, kind in own:
+            f = facts.setdefault(n, {"kinds": {}, "rows": 0, "start": arrival})
+            f["kinds"][serial] = kind
+            f["rows"] += 1
+            f["start"] = min(f["start"], arrival - timedelta(milliseconds=offset))
+        summary = sequence_summary(events, registry, segment, ("a", "b"))
+        assert summary.columns == list(SUMMARY_COLUMNS)
+        found = by_sequence(summary)
+        assert set(found) == set(facts)
+        lost = {n: max(f["kinds"]) + 1 - len(f["kinds"]) for n, f in facts.items()}
+        for n, f in facts.items():
+            row, first, last = found[n], min(f["kinds"]), max(f["kinds"])
+            assert (row["missing_prefix"], row["missing_inner"], row["lost_events"]) == (first, lost[n] - first, lost[n])
+            assert row["duplicate_events"] == f["rows"] - len(f["kinds"])
+            assert (row["first_event_type"], row["last_event_type"]) == (f["kinds"][first], f["kinds"][last])
+            assert row["started_before_window"] == (f["start"] < opens)
+            assert (row["segment"], row["has_registry"]) == (segments.get(n, "unknown"), n in segments)
+        assert [r[0] for r in rows_of(results.incomplete_sequences(summary), "sequence_id")] == sorted(n for n in lost if lost[n])
+        assert [r[0] for r in rows_of(results.not_from_zero(summary), "sequence_id")] == sorted(
+            n for n, f in facts.items() if min(f["kinds"]) > 0)
+        histogram = [(k, list(lost.values()).count(k)) for k in sorted(set(lost.values()))]
+        assert rows_of(results.lost_histogram(summary), "lost_events", "sequences") == histogram
+        starts = [start for start, _ in results.LOSS_BUCKETS]
+        for position, _, sequences, flagged, unproven in rows_of(results.lost_buckets(summary)):
+            end = starts[position] if position < len(starts) else float("inf")
+            inside = [n for n in lost if starts[position - 1] <= lost[n] < end]
+            assert (sequences, flagged) == (len(inside), sum(found[n]["started_before_window"] for n in inside))
+            assert unproven == sequences - flagged
+        lasts = [f["kinds"][max(f["kinds"])] for f in facts.values()]
+        for kind, sequences, share, rank in rows_of(results.last_event_types(summary)):
+            assert (sequences, share) == (lasts.count(kind), round(lasts.count(kind) / len(lasts), 4))
+            assert rank == 1 + sum(lasts.count(other) > sequences for other in set(lasts))
+        per_sequence = [list(f["kinds"].values()) for f in facts.values()]
+        counted = types_per_sequence(received_serials(events))
+        total = sum(map(len, per_sequence))
+        for kind, n, having, leading, share, rank in rows_of(event_type_frequency(counted, registry, segment, ("a", "b"))):
+            assert n == sum(k.count(kind) for k in per_sequence) and share == round(n / total, 4)
+            assert having == sum(kind in k for k in per_sequence)
+            assert leading == sum(kind in k and k.count(kind) == max(map(k.count, k)) for k in per_sequence)
+
+
 def test_summary_against_brute_force(spark, summarise):
     dice = random.Random(5)
     rows = [
