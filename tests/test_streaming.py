@@ -4,7 +4,7 @@ import bz2
 import json
 from datetime import timedelta
 
-from conftest import DOWN, EVENTS, HOUR, PAGE, rows_of
+from conftest import DOWN, EVENTS, HOUR, PAGE, facts_of, rows_of
 from pyspark.sql import functions as F
 
 from gapwatch.operators.summary import sequence_summary
@@ -55,7 +55,9 @@ def test_stream_equals_batch_per_hour(spark, make_registry, tmp_path):
 def test_feed_files_are_picked_up(spark, make_registry, write_feed, feed_rows, tmp_path):
     directory = write_feed(feed_rows)
     with bz2.open(f"{directory}/mouse-down-later.json.bz2", "wt") as file:
-        file.write(json.dumps({"eventTime": "2022-05-12T09:00:00Z", "navigation": 8, "serialId": 0, "relativeTimeMs": 1}))
-    found = _drain(hourly_summary(stream_feed(spark, directory), make_registry([(1, "phone")])), "feed", str(tmp_path / "c"))
-    assert sorted(rows_of(found, "sequence_id", "lost_events", "duplicate_events", "segment")) == [
-        (1, 0, 1, "phone"), (2, 0, 0, "unknown"), (3, 1, 0, "unknown")]
+        file.write(json.dumps({"eventTime": "2031-09-07T09:00:00Z", "navigation": 8, "serialId": 0, "relativeTimeMs": 1}))
+    registry = make_registry([(n, "phone") for n in range(100, 105)])
+    found = _drain(hourly_summary(stream_feed(spark, directory), registry), "feed", str(tmp_path / "c"))
+    # All generated events lie in one hour; the late record only closes it.
+    assert sorted(rows_of(found, "sequence_id", "lost_events", "duplicate_events", "segment")) == sorted(
+        (n, f["lost"], f["copies"], "phone" if n < 105 else "unknown") for n, f in facts_of(feed_rows).items())
