@@ -27,6 +27,9 @@ BOILERPLATE = (
 )
 
 
+_ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_share", "base_failed", "kept", "clean_text")
+
+
 def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
@@ -132,3 +135,17 @@ def clean_lines(
     }
     names = [c for c in docs.columns if c not in out]
     return judged.select(*names, *(column.alias(name) for name, column in out.items()))
+
+
+def kept_documents(docs: DataFrame, text_column: str = "text", max_lost: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that ``clean_lines`` keeps, with their columns as they were,
+    but for those whose names the verdict takes.
+
+    A filter on the verdict alone would be moved below the steps that lead to
+    it, each spelled out inside the next many times over. The row number, which
+    can't be moved, keeps the filter above them.
+    """
+    judged = clean_lines(docs, text_column, max_lost)
+    verdict = judged.select(F.col("kept").alias("_kept"), F.monotonically_increasing_id().alias("_row"), *(
+        c for c in docs.columns if c in judged.columns and c not in _ADDED))
+    return verdict.filter(F.col("_kept") & (F.col("_row") >= 0)).drop("_kept", "_row")
