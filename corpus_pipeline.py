@@ -18,7 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep."""
-    return quality.clean_lines(docs).filter("kept").select(*COLUMNS)
+    return quality.kept_documents(docs).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
