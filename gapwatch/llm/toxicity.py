@@ -244,10 +244,14 @@ def fit_lexicon(
         stems = sample.select("toxic", "words").mapInArrow(_count_stems, "stem string, toxic bigint, other bigint").groupBy(
             "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         least = max(least_docs, least_share * sizes[1])
-        told = stems.filter((F.col("toxic") >= least) & (F.col("toxic") >= 4 * F.col("other")))
-        seen = stems.filter(F.col("stem").isin(list(KNOWN)) & (F.col("toxic") + F.col("other") >= least_docs))
-        chosen = _chosen(told.orderBy(F.desc("toxic"), "stem").limit(20_000).collect(), sizes[1], sizes[0])
-        known = {w: v for w, v in known.items() if w not in {r["stem"] for r in seen.select("stem").collect()}}
+        telling = (F.col("toxic") >= least) & (F.col("toxic") >= 4 * F.col("other"))
+        is_known = F.col("stem").isin(list(KNOWN))
+        found = stems.filter(telling | is_known).orderBy(F.desc(is_known), F.desc("toxic"), "stem").limit(20_000).collect()
+        told = [r for r in found if r["toxic"] >= max(least, 4 * r["other"])]
+        chosen = _chosen(sorted(told, key=lambda r: (-r["toxic"], r["stem"])), sizes[1], sizes[0])
+        # Where labels say enough about a word, they decide.
+        decided = {r["stem"] for r in found if r["toxic"] + r["other"] >= least_docs}
+        known = {w: v for w, v in known.items() if w not in decided}
         lexicon = Lexicon(known | chosen, exceptions)
         points = sample.select("toxic", "text").mapInArrow(_features_of(lexicon), "toxic int, total double, words bigint").toPandas()
         x = np.array([_inputs(t, w) for t, w in zip(points["total"], points["words"])])
