@@ -3,8 +3,10 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gapwatch.llm import fingerprints, langid, mixing, neardup, packing, shingles, toxicity
@@ -135,6 +137,21 @@ def test_a_words_probabilities_sum_to_at_most_one():
     assert np.allclose(both[0], seen[0]) and math.isfinite(mixing.text_score(both, np.zeros(4)))
 
 
+@pytest.mark.parametrize("texts", [4, 5])
+@pytest.mark.parametrize("limit", ["BLOCK_DOCS", "BLOCK_TOKENS"])
+def test_context_counts_are_written_when_the_last_block_is_full(monkeypatch, limit, texts):
+    monkeypatch.setattr(mixing, limit, {"BLOCK_DOCS": 2, "BLOCK_TOKENS": 6}[limit])
+    monkeypatch.setattr(mixing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batch = pa.RecordBatch.from_pydict({
+        "text": ["two words"] * texts, "train": [True] * texts, "key": list(range(texts))})
+    rows = [r for out in mixing._gather(1)(iter([batch])) for r in out.to_pylist()]
+    assert len({r["block"] for r in rows if r["kind"] == "texts"}) == -(-texts // 2)
+    for context in range(mixing.CONTEXTS):
+        own = [r for r in rows if r["kind"] == "contexts" and r["block"] == context]
+        # two and a space, words and a space, the end
+        assert sum(mixing._unpressed(r["a"], np.int64).sum() for r in own) == texts * 11
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon({"idiot": 3.0, "trash": 3.0}, ("trash can",))
     matcher = toxicity.Matcher(lexicon)
