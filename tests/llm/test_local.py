@@ -152,6 +152,24 @@ def test_context_counts_are_written_when_the_last_block_is_full(monkeypatch, lim
         assert sum(mixing._unpressed(r["a"], np.int64).sum() for r in own) == texts * 11
 
 
+def test_weights_are_learned_from_every_training_token():
+    dice = random.Random(7)
+    many = ["".join(dice.choice("aeint") for _ in range(dice.randrange(1, 7))) for _ in range(300)]
+    words, lengths = np.frombuffer("".join(many).encode(), np.uint8), np.array([len(w) for w in many])
+    tokens = np.array([dice.randrange(300) for _ in range(100_000)])
+    counts = mixing.Counts()
+    counts.add(words, lengths, np.bincount(tokens, minlength=300))
+    model, seen = mixing.learn_block(counts.tables, words, lengths, tokens)
+    symbols, sizes = mixing.symbols_of(words, lengths)
+    bits = np.add.reduceat(mixing.CODE.length[symbols], np.cumsum(sizes) - sizes)
+    assert seen.by_node.sum() == seen.by_gate.sum() == bits[tokens].sum()
+    learned, plain = mixing.untrained(counts.tables), mixing.untrained(counts.tables)
+    learned.by_node, learned.by_gate = model.by_node, model.by_gate
+    both = [mixing.word_scores(m, words, lengths)[tokens].sum(axis=0) for m in (learned, plain)]
+    assert (both[0] > both[1]).all()
+    assert mixing.learn_block(counts.tables, words, lengths, tokens[:0]) is None
+
+
 def test_folding_and_exceptions():
     lexicon = toxicity.Lexicon({"idiot": 3.0, "trash": 3.0}, ("trash can",))
     matcher = toxicity.Matcher(lexicon)

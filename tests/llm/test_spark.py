@@ -118,6 +118,16 @@ def test_scores_count_words_exactly(docs, nothing):
     assert mixing.score_texts(nothing, F.lit(False)).count() == 0
 
 
+def test_mixing_weights_come_from_all_training_texts(docs, nothing, monkeypatch):
+    given = []
+    learn = mixing.learned_weights
+    monkeypatch.setattr(mixing, "learned_weights", lambda *a: given.append(learn(*a)) or given[-1])
+    mixing.score_texts(docs, F.lit(False)).collect()
+    mixing.score_texts(docs, F.lit(True)).collect()
+    # also of a table with less than a few hundred rows; with no training text they stay as they are
+    assert (given[0] != mixing.EVEN).any(axis=1).sum() > 30 and (given[1] == mixing.EVEN).all()
+
+
 def test_classifiers_on_odd_tables(docs, nothing, spark):
     labels = spark.createDataFrame([(i * 3, i % 2) for i in range(len(TEXTS))], "doc_id bigint, toxic int")
     for table in (docs, nothing):
