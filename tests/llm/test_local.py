@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter
+from itertools import product
 from types import SimpleNamespace
 
 import numpy as np
@@ -152,6 +153,24 @@ def test_context_counts_are_written_when_the_last_block_is_full(monkeypatch, lim
         assert sum(mixing._unpressed(r["a"], np.int64).sum() for r in own) == texts * 11
 
 
+def test_blends_sum_to_at_most_one():
+    words, lengths = np.frombuffer(b"thetheyof", np.uint8), np.array([3, 4, 2, 0])
+    counts = np.array([5, 2, 3, 1])
+    tables = mixing.Counts()
+    tables.add(words, lengths, counts)
+    model = mixing.untrained(tables.tables)
+    sums = np.exp(mixing.blends(mixing.word_scores(model, words, lengths), counts, 11, 4)).sum(axis=0)
+    # All words of one or two of these letters that were not met.
+    letters = b"aehotyzq"
+    new = [bytes(w) for n in (1, 2) for w in product(letters, repeat=n) if bytes(w) != b"of"]
+    bits = mixing.word_scores(model, np.frombuffer(b"".join(new), np.uint8), np.array([len(w) for w in new]))
+    unmet = mixing.blends(bits, np.zeros(len(new), np.int64), 11, 4)
+    assert (sums + np.exp(unmet).sum(axis=0) <= 1).all()
+    # A longer unmet word costs more, without end.
+    costs = [mixing.blends(mixing.word_scores(model, np.frombuffer(b"q" * n, np.uint8), np.array([n])), np.zeros(1), 11, 4) for n in (5, 50, 500)]
+    assert (costs[1] < 5 * costs[0]).all() and (costs[2] < 5 * costs[1]).all()
+
+
 def test_weights_are_learned_from_every_training_token():
     dice = random.Random(7)
     many = ["".join(dice.choice("aeint") for _ in range(dice.randrange(1, 7))) for _ in range(300)]
