@@ -80,16 +80,17 @@ def least_estimate(threshold: float) -> float:
 
 
 _SIGNED = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("signature", pa.binary()),
+    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("signature", pa.binary()),
     ("bands", pa.list_(pa.int64()))])
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: dict[str, list] = {f.name: [] for f in _SIGNED}
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        for doc_id, text_hash, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash")), batch.column("text")):
             found = shingle_set(word_hashes(text.as_py()), SHINGLE_WORDS)
             out["doc_id"].append(doc_id)
+            out["text_hash"].append(text_hash)
             out["n_shingles"].append(len(found))
             if not len(found):
                 for name in ("key", "signature", "bands"):
@@ -103,11 +104,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("packed_text", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("packed_text", pa.binary())])
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = [press.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in batch.column("text")]
-        yield table({"doc_id": batch.column("doc_id"), "packed_text": texts}, schema)
+        yield table({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "packed_text": texts}, schema)
 
 
 def _unpacked_set(packed_text: bytes) -> np.ndarray:
@@ -249,15 +250,40 @@ def near_duplicates(
     A pair at the threshold shares no bucket with a chance of 5e-6. Null, empty
     and blank texts have an empty set and are linked with nothing. Repeated
     rows each give a row; rows with one id and different texts stay apart
-    unless linked. A null id is kept only if it is alone in its group.
+    unless linked. A null id is kept only if its group has no other id.
     """
-    docs = small_batches(id_and_text(docs, id_column, text_column))
+    return grouped(docs, percent, id_column, text_column).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def one_per_group(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """All columns of one row per group of near duplicates, one with the smallest id, and of one per (id, text) in no group.
+
+    Ids may be null or shared by different texts: only rows that are linked, or
+    repeat both id and text, stand for each other.
+    """
+    rows = docs.withColumns({"_id": F.col(id_column).cast("bigint"), "_hash": _text_hash(F.coalesce(F.col(text_column), F.lit("")))})
+    kept = grouped(docs, percent, id_column, text_column).filter("kept").groupBy(
+        "component", "doc_id", F.when(F.col("component").isNull(), F.col("text_hash")).alias("alone")).agg(
+        F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
+    found = rows.join(kept, rows["_id"].eqNullSafe(kept["doc_id"]) & (rows["_hash"] == kept["text_hash"]), "left_semi")
+    return found.dropDuplicates(["_id", "_hash"]).drop("_id", "_hash")
+
+
+def _text_hash(text):
+    return F.xxhash64(text)
+
+
+def grouped(docs: DataFrame, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """``near_duplicates`` with ``text_hash``, and ``component``, a number per group that is null for an empty set."""
+    docs = small_batches(id_and_text(docs, id_column, text_column).withColumn("text_hash", _text_hash(F.col("text"))))
     signed = written(docs.mapInArrow(
-        _sign, "doc_id bigint, n_shingles bigint, key binary, signature binary, bands array<bigint>"), "signed")
+        _sign, "doc_id bigint, text_hash bigint, n_shingles bigint, key binary, signature binary, bands array<bigint>"), "signed")
     nodes = written(
         signed.filter("key IS NOT NULL").groupBy("key").agg(
-            F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"),
+            # a row with the smallest id that is not null, if there is one, and its text
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"), F.first("bands").alias("bands"))
+        .withColumns({"rep_id": F.col("rep.doc_id"), "rep_hash": F.col("rep.text_hash")}).drop("rep")
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # Buckets of two nodes or more, and their smallest node.
@@ -267,10 +293,10 @@ def near_duplicates(
     stars = members.filter("node != pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
 
     # Texts of all nodes that share a bucket, once.
-    wanted = members.select("node").distinct().join(nodes.select("node", "rep_id", "n_shingles", "signature"), "node")
-    texts = docs.mapInArrow(_pack_text, "doc_id bigint, packed_text binary")
+    wanted = members.select("node").distinct().join(nodes.select("node", "rep_id", "rep_hash", "n_shingles", "signature"), "node")
+    texts = docs.mapInArrow(_pack_text, "doc_id bigint, text_hash bigint, packed_text binary")
     candidates = written(
-        texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep_id)).groupBy("node").agg(
+        texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep_id) & (texts.text_hash == wanted.rep_hash)).groupBy("node").agg(
             F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
             F.first("packed_text").alias("packed_text")), "candidates")
 
@@ -313,7 +339,7 @@ def near_duplicates(
         "component", F.coalesce("component", "node")).join(merged, "component", "left").select(
         "key", "rep_id", F.coalesce("merged", "component").alias("component"))
     smallest = of_node.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    of_key = of_node.join(smallest, "component").select("key", "component_id")
-    return signed.select("doc_id", "n_shingles", "key").join(of_key, "key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    of_key = of_node.join(smallest, "component").select("key", "component", "component_id")
+    return signed.select("doc_id", "text_hash", "n_shingles", "key").join(of_key, "key", "left").select(
+        "doc_id", "text_hash", "n_shingles", "component", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

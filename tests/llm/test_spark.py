@@ -70,6 +70,20 @@ def test_near_duplicates_against_brute_force(docs, nothing):
     assert neardup.near_duplicates(nothing).count() == 0
 
 
+def test_near_dedup_stage_with_null_and_shared_ids(spark):
+    import corpus_pipeline
+
+    # Null ids on different texts; one id on two different texts, each with a near copy of its own; repeated rows.
+    a, b, c, d, e = (_text(n, 80 + n) for n in (11, 12, 13, 14, 15))
+    rows = [(None, a), (None, b), (None, b), (None, b + " end"), (7, c), (7, d), (7, d), (8, c + " end"), (9, d + " end"), (7, e), (7, e + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(4)
+    found = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert len(found) == 5 and len({t.removesuffix(" end") for _, t in found}) == 5
+    assert {t: i for i, t in found if not t.endswith(" end")}.items() >= {a: None, c: 7, d: 7}.items()
+    components = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs).collect()}
+    assert components == {(None, None), (7, 7), (8, 7), (9, 7)}
+
+
 def test_packing_covers_every_text_once(docs, nothing):
     pieces = packing.pack(docs, tokenizer_path(), tokens=256).collect()
     length = Counter()
