@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwatch.llm import automaton, fingerprints, html, kdtree, langid, mixing, neardup, packing, quality, toxicity
+from gapwatch.llm import (
+    automaton, divergence, fingerprints, fragments, html, kdtree, langid, mixing, neardup, packing, quality, toxicity, trie, twins,
+)
 
 
 def tokenizer_path() -> str:
@@ -89,6 +91,18 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_documents(spark, sf_dir))
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fragments.similar_groups(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,10 +121,18 @@ def queries() -> dict:
         "op8_near_duplicates": near_duplicates,
         "op9_line_quality": line_quality,
         "op10_kd_sharding": kd_sharding,
+        "op11_source_divergence": source_divergence,
+        "op12_prefix_trie": prefix_trie,
+        "op13_ngram_join": ngram_join,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins; the methods of the other operators can't be written in it and are tested against brute force."""
-    return {}
+    return {
+        "op8_near_duplicates": twins.near_duplicates(),
+        "op11_source_divergence": twins.source_divergence(),
+        "op12_prefix_trie": twins.prefix_trie(),
+        "op13_ngram_join": twins.ngram_join(),
+    }
