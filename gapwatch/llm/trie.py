@@ -30,9 +30,9 @@ from gapwatch.llm.common import table, written
 GROUP, HEADS = 5, 9
 ENTRY = 16
 #: Turns that a shard is meant to hold, splitters at most, bytes of all their paths at most, turns of a splitter's path.
-SHARD_TURNS, MOST_SPLITTERS, MOST_BYTES, SPLITTER_TURNS = 8192, 4095, 4 << 20, 256
+SHARD_TURNS, MOST_SPLITTERS, MOST_BYTES, SPLITTER_TURNS = 1024, 4095, 4 << 20, 256
 #: Conversations sampled per splitter.
-SAMPLED = 4
+SAMPLED = 8
 ROWS_OUT = 4096
 
 _PATHS = pa.schema([("conv_id", pa.int64()), ("path", pa.binary()), ("sizes", pa.binary())])
