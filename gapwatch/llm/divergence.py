@@ -30,8 +30,8 @@ SCALE, ADDED = 1_000_000_000, 2
 BLOCK_TERMS, TILE_GROUPS = 1024, 48
 #: Indicator columns that one product may have; beyond it the block's rows are halved.
 MOST_COLUMNS = 2048
-#: Distinct terms, and bytes of text, that a task counts before it hands them on.
-HELD_TERMS, HELD_BYTES = 150_000, 32 << 20
+#: Characters of text whose terms a task counts before it hands the counts on.
+HELD_CHARS = 12 << 20
 
 _PARTS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _COUNTED = pa.schema([
@@ -60,13 +60,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
             count.update(terms)
             docs.update(set(terms))
-            size += sum(map(len, set(terms)))
-            if size > HELD_BYTES:
+            size += len(text.as_py())
+            if size > HELD_CHARS:
                 yield from counted()
                 held, size = {}, 0
-        if sum(len(count) for count, _ in held.values()) > HELD_TERMS:
-            yield from counted()
-            held, size = {}, 0
     yield from counted()
 
 
@@ -101,39 +98,69 @@ def joint_sums(prices: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.
     return np.add.reduceat(np.add.reduceat(priced, cut(first), axis=0), cut(second), axis=1)
 
 
-_SUMMED = pa.schema([("lang", pa.string()), ("one", pa.string()), ("other", pa.string()), ("value", pa.int64())])
-_BLOCK = ["lang", "band", "part", "first_tile", "second_tile"]
-
-
-def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summed distances of the pairs of groups of two tiles over one block of terms."""
-    for rows in groups(batches, _BLOCK):
-        known = rows.filter(pc.is_valid(rows.column("term")))
-        header = rows.filter(pc.is_null(rows.column("term")))
-        names = header.column("source").to_pylist()
-        tiles = header.column("tile").to_numpy()
-        column_of = {name: i for i, name in enumerate(names)}
-        terms = known.column("term").combine_chunks().dictionary_encode()
-        # a term that a group lacks stands at the group's price of a count of 0
-        prices = np.repeat(header.column("price").to_numpy()[None, :], len(terms.dictionary), axis=0)
-        prices[terms.indices.to_numpy(), [column_of[s] for s in known.column("source").to_pylist()]] = known.column("price").to_numpy()
-        first_tile, second_tile = rows.column("first_tile")[0].as_py(), rows.column("second_tile")[0].as_py()
-        first, second = np.flatnonzero(tiles == first_tile), np.flatnonzero(tiles == second_tile)
-        if not len(first) or not len(second) or not len(prices):
-            continue
-        sums = joint_sums(prices, first, second)
-        pairs = [(i, j) for i in range(len(first)) for j in range(len(second)) if first_tile != second_tile or first[i] < second[j]]
-        lang = rows.column("lang")[0].as_py()
-        yield table({
-            "lang": [lang] * len(pairs), "one": [names[first[i]] for i, _ in pairs],
-            "other": [names[second[j]] for _, j in pairs], "value": [sums[i, j] for i, j in pairs]}, _SUMMED)
-
-
-def _price(count: Column | str, of: Column | str, kept: Column | str) -> Column:
-    """1 + floor(SCALE * (count + ADDED) / (of + ADDED * kept)), in decimals that nothing overflows."""
-    wide = lambda c: (F.col(c) if isinstance(c, str) else c).cast("decimal(28,0)")
-    share = (wide(count) + F.lit(ADDED)) * F.lit(SCALE).cast("decimal(10,0)")
-    return F.lit(1).cast("bigint") + F.call_function("div", share, wide(of) + wide(kept) * F.lit(ADDED).cast("decimal(2,0)"))
+_FOUND = pa.schema([
+    ("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+_FOUND_COLUMNS = "lang string, source string, part string, item string, value bigint"
+_BLOCK = ["lang", "band", "block", "first_tile", "second_tile"]
+
+
+def _best(items: list[str], value: np.ndarray, most: int) -> np.ndarray:
+    """Rows of the ``most`` largest values, equal ones by the item's UTF-8."""
+    if len(value) > most:
+        rows = np.flatnonzero(value >= np.partition(value, -most)[-most])
+    else:
+        rows = np.arange(len(value))
+    return np.array(sorted(rows.tolist(), key=lambda i: (-value[i], items[i].encode()))[:most], dtype=np.int64)
+
+
+def _multiply(most_terms: int):
+    """Of one block of terms, the summed distances of the groups of two tiles, and each group's dearest terms."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, _BLOCK):
+            header = rows.filter(pc.is_null(rows.column("term")))
+            known = rows.filter(pc.is_valid(rows.column("term")))
+            names, tiles = header.column("source").to_pylist(), header.column("tile").to_numpy()
+            column_of = {name: i for i, name in enumerate(names)}
+            terms = known.column("term").combine_chunks().dictionary_encode()
+            place, words = terms.indices.to_numpy(), terms.dictionary.to_pylist()
+            column = np.array([column_of[s] for s in known.column("source").to_pylist()], dtype=np.int64)
+            price = known.column("price").to_numpy()
+            # a term that a group lacks stands at the group's price of a count of 0
+            prices = np.repeat(header.column("price").to_numpy()[None, :], len(words), axis=0)
+            prices[place, column] = price
+            first_tile, second_tile = rows.column("first_tile")[0].as_py(), rows.column("second_tile")[0].as_py()
+            first, second = np.flatnonzero(tiles == first_tile), np.flatnonzero(tiles == second_tile)
+            found: list[tuple] = []
+            if len(first) and len(second) and len(words):
+                sums = joint_sums(prices, first, second)
+                for i, one in enumerate(first.tolist()):
+                    for j, other in enumerate(second.tolist()):
+                        if one != other:
+                            found.append((names[one], "pair", names[other], int(sums[i, j])))
+                            if first_tile != second_tile:
+                                found.append((names[other], "pair", names[one], int(sums[i, j])))
+            if first_tile == second_tile:
+                apart = price - known.column("lang_price").to_numpy()
+                value = apart ** 2 // (2 * price - apart)
+                for group in first.tolist():
+                    at = np.flatnonzero((column == group) & (apart > 0))
+                    best = at[_best([words[place[i]] for i in at], value[at], most_terms)]
+                    found.extend((names[group], "term", words[place[i]], int(value[i])) for i in best)
+            if found:
+                lang = rows.column("lang")[0].as_py()
+                yield table(dict(zip(_FOUND.names, ([lang] * len(found), *zip(*found)))), _FOUND)
+
+    return multiply
+
+
+def _price(count: str, of: str, kept: str) -> Column:
+    """1 + floor(SCALE * (count + ADDED) / (of + ADDED * kept)); in decimals where a long would overflow."""
+    shares = F.col(of) + ADDED * F.col(kept)
+    wide = (F.col(count).cast("decimal(20,0)") + F.lit(ADDED)) * F.lit(SCALE).cast("decimal(10,0)")
+    short = (F.col(count) + ADDED) * F.lit(SCALE).cast("bigint")
+    return F.when(F.col(count) < F.lit((1 << 63) // SCALE - ADDED - 1), F.call_function("div", short, shares)).otherwise(
+        F.call_function("div", wide, shares.cast("decimal(20,0)"))) + 1
 
 
 def source_divergence(
@@ -152,60 +179,49 @@ def source_divergence(
     Repeated rows count as often as they are there. Very long texts are counted
     whole. An empty table gives no rows. Other columns are left behind.
     """
-    empty = lambda c: F.coalesce(F.col(c), F.lit(""))
+    empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     texts = small_batches(docs.select(
         empty(lang_column).alias("lang"), empty(source_column).alias("source"), empty(text_column).alias("text")))
     counted = texts.mapInArrow(_count, "lang string, source string, term string, count bigint, docs bigint")
     counts = written(counted.groupBy("lang", "source", "term").agg(
         F.sum("count").alias("count"), F.sum("docs").alias("docs")), "counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("count").alias("total"), F.sum("docs").alias("docs")).filter(
-        F.col("docs") >= least_documents).drop("docs")
-    rows = written(counts.drop("docs").join(kept, ["lang", "term"]), "kept")
+    # Terms of one power of two have few levels; such a band is cut into blocks.
+    kept = written(counts.groupBy("lang", "term").agg(F.sum("count").alias("total"), F.sum("docs").alias("docs")).filter(
+        F.col("docs") >= least_documents).select("lang", "term", "total", F.floor(F.log2("total")).cast("int").alias("band")), "kept")
+    bands = kept.groupBy("lang", "band").agg(
+        F.ceil(F.count("*") / BLOCK_TERMS).cast("int").alias("blocks"), F.count("*").alias("n"), F.sum("total").alias("total"))
+    of_lang = bands.groupBy("lang").agg(F.sum("total").alias("lang_sum"), F.sum("n").alias("n_kept"))
+    rows = written(counts.drop("docs").join(kept, ["lang", "term"]), "rows")
 
     # Every group that occurs, the sum of its kept counts, and what its language keeps.
-    of_lang = rows.groupBy("lang", "term").agg(F.sum("count").alias("count")).groupBy("lang").agg(
-        F.sum("count").alias("lang_sum"), F.count("*").alias("n_kept"))
     sums = rows.groupBy("lang", "source").agg(F.sum("count").alias("source_sum"))
     found = texts.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(of_lang, "lang", "left").fillna(
         0, ["source_sum", "lang_sum", "n_kept"])
-    n_groups = found.groupBy("lang").agg(F.count("*").alias("n_groups"))
     tiles = F.ceil(F.col("n_groups") / TILE_GROUPS).cast("int")
-    sources = written(found.join(n_groups, "lang").withColumns({
+    sources = written(found.join(found.groupBy("lang").agg(F.count("*").alias("n_groups")), "lang").withColumns({
         "tiles": tiles, "tile": F.pmod(F.xxhash64("source"), tiles).cast("int")}), "sources")
 
-    priced = rows.join(sources, ["lang", "source"]).withColumns({
-        "price": _price("count", "source_sum", "n_kept"), "lang_price": _price("total", "lang_sum", "n_kept")})
-    apart = F.col("price") - F.col("lang_price")
-    distance = F.call_function("div", apart * apart, F.col("price") + F.col("lang_price"))
-    terms = priced.filter("price > lang_price").select(
-        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), distance.alias("value"))
-    pairs = _pair_values(priced, sources)
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = lambda frame: frame.withColumn("rank", F.row_number().over(order))
-    return ranked(pairs).unionByName(ranked(terms).filter(F.col("rank") <= most_terms))
-
-
-def _pair_values(priced: DataFrame, sources: DataFrame) -> DataFrame:
-    """Every ordered pair of a language's sources and its summed distance."""
-    # Terms of one power of two have few levels; a band of them is cut into blocks.
-    banded = priced.withColumn("band", F.floor(F.log2(F.col("total"))).cast("int"))
-    bands = banded.groupBy("lang", "band").agg(F.count_distinct("term").alias("n_terms")).withColumn(
-        "parts", F.ceil(F.col("n_terms") / BLOCK_TERMS).cast("int")).drop("n_terms")
-    cells = banded.join(bands, ["lang", "band"]).select(
-        "lang", "band", F.pmod(F.xxhash64("term"), "parts").cast("int").alias("part"), "source", "term", "price", "tile", "tiles")
-    headers = sources.join(bands, "lang").select(
-        "lang", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "source",
-        F.lit(None).cast("string").alias("term"), _price(F.lit(0), "source_sum", "n_kept").alias("price"), "tile", "tiles")
+    cells = rows.join(sources, ["lang", "source"]).join(bands.select("lang", "band", "blocks"), ["lang", "band"]).select(
+        "lang", "band", F.pmod(F.xxhash64("term"), "blocks").cast("int").alias("block"), "source", "term",
+        _price("count", "source_sum", "n_kept").alias("price"), _price("total", "lang_sum", "n_kept").alias("lang_price"),
+        "tile", "tiles")
+    # Every block knows every group of its language.
+    headers = sources.withColumn("none", F.lit(0).cast("bigint")).join(bands.select("lang", "band", "blocks"), "lang").select(
+        "lang", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "source",
+        F.lit(None).cast("string").alias("term"), _price("none", "source_sum", "n_kept").alias("price"),
+        F.lit(None).cast("bigint").alias("lang_price"), "tile", "tiles")
     # Each row meets every tile once.
     dealt = cells.unionByName(headers).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "lang", "band", "part", F.least("tile", "other").alias("first_tile"), F.greatest("tile", "other").alias("second_tile"),
-        "source", "term", "price", "tile")
-    summed = dealt.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(
-        _multiply, "lang string, one string, other string, value bigint").groupBy("lang", "one", "other").agg(
-        F.sum("value").alias("value"))
-    both = summed.unionByName(summed.select("lang", F.col("other").alias("one"), F.col("one").alias("other"), "value"))
-    all_pairs = sources.select("lang", F.col("source").alias("one")).join(
-        sources.select("lang", F.col("source").alias("other")), "lang").filter("one != other")
-    return all_pairs.join(both, ["lang", "one", "other"], "left").select(
-        "lang", F.col("one").alias("source"), F.lit("pair").alias("part"), F.col("other").alias("item"),
-        F.coalesce("value", F.lit(0).cast("bigint")).alias("value"))
+        "lang", "band", "block", F.least("tile", "other").alias("first_tile"), F.greatest("tile", "other").alias("second_tile"),
+        "source", "term", "price", "lang_price", "tile")
+    results = written(dealt.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(
+        _multiply(most_terms), _FOUND_COLUMNS), "results")
+
+    # A language without kept terms has no block: its pairs are 0.
+    item = sources.select("lang", F.col("source").alias("item"))
+    pairs = sources.select("lang", "source", F.lit("pair").alias("part")).join(item, "lang").filter("source != item").join(
+        results.filter("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value")),
+        ["lang", "source", "item"], "left").fillna(0, ["value"]).select("lang", "source", "part", "item", "value")
+    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
+    ranked = pairs.unionByName(results.filter("part = 'term'")).withColumn("rank", F.row_number().over(order))
+    return ranked.filter((F.col("part") == "pair") | (F.col("rank") <= most_terms))

@@ -8,8 +8,9 @@
    so a group of n near copies gives about n pairs.
 3. A pair's overlap is counted in each fragment on its own, where the fragment's
    segments of the two sets meet, and summed per pair. That is exact.
-4. Groups whose other members still lie in different components are compared in blocks.
-   Before any pair is handed on, its sizes and the parity of its n-grams by bucket
+4. Groups whose other members still lie in different components are compared in blocks,
+   each fragment's overlap added until it decides the pair. No pairs but links leave a block.
+5. Before a pair is counted, its sizes and the parity of its n-grams by bucket
    bound its overlap from above; the bound loses no link.
 """
 
@@ -34,10 +35,12 @@ SHINGLE_WORDS = 5
 BUCKET_BITS, SLICES = 20, 64
 #: Ranges of the global order in which overlaps are counted apart.
 FRAGMENTS = 8
-#: Pairs of one node that a task counts together; nodes of a block.
-STAR, BLOCK = 256, 1024
-#: Parity bits of a set: a power of two of at least twice its size, within these.
-LEAST_BITS, MOST_BITS = 64, 1 << 16
+#: Pairs of one node that a task counts together.
+STAR = 256
+#: Nodes, and n-grams of all their sets, that a block is meant to hold; bytes of sets that a task keeps of them.
+BLOCK, BLOCK_GRAMS, HELD_BYTES = 1024, 1 << 20, 32 << 20
+#: Parity bits of a set: a power of two within these, of at least 2 per n-gram, or so many in the blocks.
+LEAST_BITS, MOST_BITS, WIDE = 64, 1 << 16, 16
 
 
 def shingles_of(text: str) -> np.ndarray:
@@ -69,17 +72,36 @@ class Order:
         wanted = len(grams) - -(-percent * len(grams) // 100) + 1
         return grams[np.argsort(self.rank[buckets_of(grams)], kind="stable")[:wanted]]
 
-    def segments(self, grams: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """The parts of a sorted set in each fragment that has one, still sorted."""
+    def segments(self, grams: np.ndarray) -> list[np.ndarray]:
+        """The part of a sorted set in each fragment, still sorted."""
         fragment = np.searchsorted(self.cuts, self.rank[buckets_of(grams)], side="left")
-        for i in np.unique(fragment).tolist():
-            yield i, grams[fragment == i]
+        return [grams[fragment == i] for i in range(len(self.cuts) + 1)]
 
 
-def parity(grams: np.ndarray) -> np.ndarray:
+def common_grams(one: np.ndarray, other: np.ndarray) -> int:
+    """How many n-grams two sorted segments share."""
+    if not len(one) or not len(other):
+        return 0
+    return int((one[np.minimum(np.searchsorted(one, other), len(one) - 1)] == other).sum())
+
+
+def overlap_reaches(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> bool:
+    """Whether the overlaps of the segments add up to a link; ends with the fragment that decides it."""
+    left, right = sum(map(len, one)), sum(map(len, other))
+    wanted = -(-percent * (left + right) // (100 + percent))
+    common = 0
+    for a, b in zip(one, other):
+        if common + min(left, right) < wanted:
+            return False
+        common += common_grams(a, b)
+        left, right = left - len(a), right - len(b)
+    return common >= wanted
+
+
+def parity(grams: np.ndarray, per_gram: int = 2) -> np.ndarray:
     """For each bucket of low bits, whether an odd number of n-grams lies in it; packed."""
     bits = LEAST_BITS
-    while bits < min(2 * len(grams), MOST_BITS):
+    while bits < min(per_gram * len(grams), MOST_BITS):
         bits *= 2
     odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
@@ -191,7 +213,7 @@ def _cut(order: Order):
             rows = []
             for node, packed in zip(batch.column("node").to_pylist(), batch.column("packed_text")):
                 grams = shingles_of(open_.decompress(packed.as_py()).decode("utf-8", "surrogatepass"))
-                rows.extend((node, i, len(grams), part.tobytes()) for i, part in order.segments(grams))
+                rows.extend((node, i, len(grams), part.tobytes()) for i, part in enumerate(order.segments(grams)) if len(part))
             if rows:
                 yield table(dict(zip(_SEGMENTS.names, zip(*rows))), _SEGMENTS)
 
@@ -212,8 +234,7 @@ def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 continue
             if held != (u, part, fragment):
                 continue  # the centre has nothing in this fragment
-            at = np.searchsorted(centre, segment)
-            common = int((centre[np.minimum(at, len(centre) - 1)] == segment).sum())
+            common = common_grams(centre, segment)
             if common:
                 out.append((u, v, common, n_centre + n))
         if out:
@@ -237,31 +258,64 @@ def _likely(percent: int):
     return likely
 
 
-def _block_pairs(percent: int):
-    """Pairs of different components between two blocks of a group that sizes and parities allow."""
+class _Held:
+    """Segments of the sets of a block's rows, made when asked for, the oldest dropped beyond a number of bytes."""
+
+    def __init__(self, texts: pa.ChunkedArray, order: Order):
+        self._texts, self._order, self._held, self._size = texts, order, {}, 0
+        self._open = zstandard.ZstdDecompressor()
+
+    def grams(self, i: int) -> np.ndarray:
+        return shingles_of(self._open.decompress(self._texts[i].as_py()).decode("utf-8", "surrogatepass"))
+
+    def segments(self, i: int) -> list[np.ndarray]:
+        if i not in self._held:
+            self._held[i] = self._order.segments(self.grams(i))
+            self._size += sum(part.nbytes for part in self._held[i])
+            while self._size > HELD_BYTES and len(self._held) > 2:
+                self._size -= sum(part.nbytes for part in self._held.pop(next(iter(self._held))))
+        return self._held[i]
+
+
+def _link_blocks(order: Order, percent: int):
+    """Links that join components between two blocks of a group.
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Pairs of one component, as far as it is known here, need no look. Rows that
+    can be linked to many go first, so the centre of a group of copies joins it
+    and no other pair of the group is compared.
+    """
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, ["gram", "first_block", "second_block"]):
             nodes, parts, sizes, block = (rows.column(c).to_numpy() for c in ("node", "component", "n", "block"))
-            bits = [np.frombuffer(x.as_buffer(), np.uint8) for x in rows.column("bits")]
-            widths = np.array([len(b) for b in bits])
+            parts = parts.copy()
             first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
-            right = np.flatnonzero(block == second)
-            # the right block's parities by width
-            stacks = {w: (at := right[widths[right] == w], np.stack([bits[i] for i in at])) for w in np.unique(widths[right]).tolist()}
-            for i in np.flatnonzero(block == first).tolist():
-                for width, (at, stack) in stacks.items():
-                    keep = (parts[at] != parts[i]) & (100 * np.minimum(sizes[at], sizes[i]) >= percent * np.maximum(sizes[at], sizes[i]))
-                    if first == second:
-                        keep &= at > i
-                    if not keep.any():
-                        continue
-                    found = at[keep][may_link(bits[i], int(sizes[i]), stack[keep], sizes[at][keep], percent)]
-                    if len(found):
-                        here = np.full(len(found), nodes[i])
-                        yield table({"u": np.minimum(here, nodes[found]), "v": np.maximum(here, nodes[found])}, _PAIR)
-
-    return pairs
+            held = _Held(rows.column("packed_text"), order)
+            bits = [parity(held.grams(i), WIDE) for i in range(len(nodes))]
+            widths = np.array([len(b) for b in bits])
+
+            def stacked(at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+                """Rows and their parities, by the parities' width."""
+                return [(same, np.stack([bits[i] for i in same])) for w in np.unique(widths[at]) for same in [at[widths[at] == w]]]
+
+            def likely(i: int, stacks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+                found = [at[may_link(bits[i], int(sizes[i]), stack, sizes[at], percent)] for at, stack in stacks]
+                return np.concatenate(found) if found else np.empty(0, np.int64)
+
+            left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+            stacks, some = stacked(right), stacked(right[::max(1, len(right) // 64)])
+            kept: list[tuple[int, int]] = []
+            for i in sorted(left.tolist(), key=lambda i: -len(likely(i, some))):
+                if (parts[right] == parts[i]).all():
+                    continue
+                for j in likely(i, stacks).tolist():
+                    if parts[j] != parts[i] and overlap_reaches(held.segments(i), held.segments(j), percent):
+                        parts[parts == parts[j]] = parts[i]
+                        kept.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+            if kept:
+                yield table(dict(zip(_PAIR.names, zip(*kept))), _PAIR)
+
+    return link
 
 
 def similar_groups(
@@ -345,19 +399,22 @@ def similar_groups(
 
     # Groups whose other members still lie apart; of those with the same members one is enough.
     placed = members.filter("node != pivot").join(labels, "node", "left").select(
-        "gram", "node", "members", F.coalesce("component", "node").alias("component"))
+        "gram", "node", F.coalesce("component", "node").alias("component"))
     open_groups = placed.groupBy("gram").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"),
         F.bit_xor(F.xxhash64("node")).alias("bag"), F.sum(F.shiftright(F.xxhash64("node", F.lit(1)), 24)).alias("sum"),
     ).filter("low != high").groupBy("count", "bag", "sum").agg(F.min("gram").alias("gram")).select("gram")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = placed.join(open_groups, "gram").join(about, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    rows = placed.join(open_groups, "gram").join(about.select("node", "n"), "node")
+    blocks = rows.groupBy("gram").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "gram").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(candidates, "node").select(
         "gram", F.least("block", "other").alias("first_block"), F.greatest("block", "other").alias("second_block"),
-        "node", "component", "n", "bits", "block")
+        "node", "component", "n", "block", "packed_text")
     keys = ("gram", "first_block", "second_block")
-    left = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_block_pairs(percent), "u bigint, v bigint").distinct()
-    labels = labelled(links.unionByName(linked(left)))
+    more = written(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        _link_blocks(order, percent), "u bigint, v bigint").distinct(), "links")
+    labels = labelled(links.unionByName(more))
 
     of_node = nodes.select("node", "key", "rep_id").join(labels, "node", "left").select(
         "key", "rep_id", F.coalesce("component", "node").alias("component"))
