@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+import oracle_monitoring
 import oracle_queries
 from gapwatch.functions.payload import payload_json
+from gapwatch.monitoring import coverage, drift, expected, gaps, timing, traffic, windows
 from gapwatch.operators import frequency, profile, registry, results, serials, summary, validate
 from gapwatch.plans.session import use_utc
 from gapwatch.sources import feed
 from gapwatch.sources import sample_tables as tables
-from gapwatch.streaming import hourly_summary
+from gapwatch.streaming import hourly_summary, merged_blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +68,10 @@ class _Reading:
         return summary.typed_blocks(self.events(spark, sf_dir))
 
 
-_CLICKS = _Reading(tables.clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
+_CLICKS = _Reading(tables.clicks, tables.click_registry, tables.CLICK_SEGMENTS, "3")
 _LINES = _Reading(tables.lines, tables.line_registry, tables.LINE_SEGMENTS, "2-HIGH")
-_COARSE = _Reading(tables.coarse_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
-_STABLE = _Reading(tables.stable_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "7")
+_COARSE = _Reading(tables.coarse_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "3")
+_STABLE = _Reading(tables.stable_clicks, tables.click_registry, tables.CLICK_SEGMENTS, "3")
 _TURNS = _Reading(tables.turns, tables.click_registry, (), "all")
 
 
@@ -190,10 +193,74 @@ def _single() -> dict[str, Query]:
     }
 
 
-#: The operators of training-data pipelines are there only if their folder is.
-_HAS_LLM = importlib.util.find_spec("gapwatch.llm") is not None
-if _HAS_LLM:
+def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks as JSON text of a producer that has moved on: a retyped, a nested, a new and a broken part."""
+    serial, kind, value = F.regexp_extract("props", "([0-9]+)", 1), F.col("event_type"), F.col("value")
+    text = lambda c: c.cast("string")
+    where = lambda condition, then: F.when(condition, then).otherwise("")
+    nested = F.concat(F.lit(', "at": {"x": '), text(F.col("event_id") % 7), where(value > 10, F.lit(', "z": true')), F.lit("}"))
+    record = F.concat(
+        F.lit('{"k": '), F.when(kind == "error", F.concat(F.lit('"'), serial, F.lit('"'))).otherwise(serial), where(kind == "view", nested),
+        where(kind == "click", F.lit(', "note": null')), F.lit(', "user": '), text(F.col("user_id")), F.lit("}"))
+    broken = (kind == "signup") & (value < 3)
+    return tables.read(spark, sf_dir, "events").select(F.when(broken, F.lit('{"k": ')).otherwise(record).alias("record"))
+
+
+_DECLARED = "k BIGINT, at STRUCT<x: DOUBLE, y: DOUBLE>, note STRING, plan STRING"
+
+
+def _lossy_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _TURNS.events(spark, sf_dir).filter("sequence_id % 3 > 0 OR serial_id % 3 != 1")
+
+
+def _announced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count per conversation by rule: too many, as many as there are, too few; some are missing, some have no event."""
+    turns = _TURNS.events(spark, sf_dir)
+    more = F.when(F.col("sequence_id") % 4 == 0, 3).when(F.col("sequence_id") % 4 == 2, 0).otherwise(1)
+    known = turns.filter("sequence_id % 11 != 5").groupBy("sequence_id").agg(F.max("serial_id").alias("last")).select(
+        "sequence_id", (F.col("last") + more).alias("expected_events"))
+    absent = turns.filter("sequence_id % 9 = 0").select(F.col("sequence_id") + 1000000, F.lit(2).cast("bigint")).distinct()
+    return known.union(absent)
+
+
+def _merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four lots of clicks, folded apart and merged."""
+    events, registry_ = _CLICKS.events(spark, sf_dir), _CLICKS.registry(spark, sf_dir)
+    lots = [summary.typed_blocks(events.filter(F.pmod(F.xxhash64("arrival", "serial_id"), F.lit(4)) == lot)) for lot in range(4)]
+    return summary.summary_of(summary.facts_from_blocks(merged_blocks(reduce(DataFrame.unionByName, lots))), registry_)
+
+
+def _monitoring() -> dict[str, Query]:
+    """Measures per window, on the reading that has data for them."""
+    def copies(s, d):
+        return gaps.copy_delays(_CLICKS.events(s, d), _CLICKS.registry(s, d), "1 day")
+
+    return {
+        "boundary_completeness": lambda s, d: windows.boundary_completeness(
+            windows.window_blocks(_CLICKS.events(s, d), "1 day"), "1 day"),
+        "boundary_completeness_b": lambda s, d: windows.boundary_completeness(
+            windows.window_blocks(_LINES.events(s, d), "7 days"), "7 days"),
+        "gap_rate": lambda s, d: gaps.gap_rate(_CLICKS.events(s, d), _CLICKS.registry(s, d), "1 day"),
+        "copy_delays": copies,
+        "copy_rate": lambda s, d: gaps.copy_rate(copies(s, d), _CLICKS.events(s, d), _CLICKS.registry(s, d), "1 day"),
+        "coverage_by_window_b": lambda s, d: coverage.coverage_by_window(_LINES.events(s, d), _LINES.registry(s, d), "1 day"),
+        "timing_residuals_b": lambda s, d: timing.exact_residuals(
+            timing.timing_residuals(_LINES.events(s, d), _LINES.registry(s, d), "7 days")),
+        "events_per_sequence": lambda s, d: traffic.events_per_sequence(frequency.types_per_sequence(_CLICKS.serials(s, d))),
+        "events_per_sequence_b": lambda s, d: traffic.events_per_sequence(frequency.types_per_sequence(_LINES.serials(s, d))),
+        "time_of_day_baseline": lambda s, d: traffic.time_of_day_baseline(
+            traffic.hourly_traffic(_CLICKS.events(s, d), _CLICKS.registry(s, d))),
+        "expected_events": lambda s, d: expected.reconcile(_lossy_turns(s, d), _announced(s, d)),
+        "field_drift": lambda s, d: drift.field_drift(_raw_records(s, d), "record", StructType.fromDDL(_DECLARED)),
+        "merged_summary": _merged_summary,
+    }
+
+
+#: The operators of training-data pipelines are there only if their folder, and what it needs, is.
+try:
     from gapwatch.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
 
 
 def _in_utc(query: Query) -> Query:
@@ -207,15 +274,16 @@ def queries() -> dict[str, Query]:
         registered[name] = query_of(_CLICKS)
         registered[f"{name}_b"] = query_of(_LINES)
     registered.update(_single())
+    registered.update(_monitoring())
     registered = {name: _in_utc(query) for name, query in registered.items()}
-    if _HAS_LLM:
+    if llm_queries:
         registered.update(llm_queries.queries())
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
     """For each key of ``queries()``, SQL for DuckDB over the same tables."""
-    return oracle_queries.all_queries() | (llm_queries.oracle_sql() if _HAS_LLM else {})
+    return oracle_queries.all_queries() | oracle_monitoring.all_queries() | (llm_queries.oracle_sql() if llm_queries else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -79,3 +79,29 @@ def inner_gap_lengths(bits) -> Column:
     """
     runs = F.filter(F.split(F.rtrim(_text(bits), F.lit("0")), "1+"), lambda run: run != "")
     return F.transform(runs, lambda run: F.length(run).cast("bigint"))
+
+
+def inner_gaps(block, bits) -> Column:
+    """Runs of absent serials between received serials of one block, as structs ``(before, after)`` of those serials."""
+    positions = F.filter(
+        F.sequence(F.lit(0), F.lit(LAST_POSITION)),
+        lambda position: F.call_function("shiftright", F.col(bits), position).bitwiseAND(F.lit(1)) == 1)
+    # Blocks without a hole, nearly all of them, are not spelled out.
+    holes = F.length(F.rtrim(_text(bits), F.lit("0"))) > F.bit_count(bits)
+    received = F.when(holes, positions).otherwise(F.array().cast("array<int>"))
+    pairs = F.arrays_zip(received.alias("one"), F.slice(received, 2, F.lit(LAST_POSITION)).alias("next"))
+    apart = F.filter(pairs, lambda pair: pair["next"] > pair["one"] + 1)
+    return F.transform(apart, lambda pair: F.struct(
+        serial_at(block, pair["one"]).alias("before"), serial_at(block, pair["next"]).alias("after")))
+
+
+def received_between(block: str, bits: str, first: Column, last: Column) -> Column:
+    """How many received serials of a block lie in first … last."""
+    start = serial_at(block, F.lit(0))
+    low = F.greatest(first - start, F.lit(0)).cast("int")
+    high = F.least(last - start, F.lit(LAST_POSITION)).cast("int")
+    ones = F.lit(-1).cast("bigint")
+    mask = F.call_function("shiftleft", ones, low).bitwiseAND(
+        F.call_function("shiftrightunsigned", ones, F.lit(LAST_POSITION) - high))
+    inside = (last >= start) & (first <= start + LAST_POSITION) & (first <= last)
+    return F.when(inside, F.bit_count(F.col(bits).bitwiseAND(mask)).cast("bigint")).otherwise(0)

@@ -27,6 +27,11 @@ def _problems(required: dict[str, int | None] = REQUIRED) -> dict[str, Column]:
     return {_described(column, least): _broken(column, least) for column, least in required.items()}
 
 
+def problem_of() -> Column:
+    """The first problem of a row, or null."""
+    return F.coalesce(*[F.when(bad, F.lit(problem)) for problem, bad in _problems().items()])
+
+
 def violations(events: DataFrame) -> DataFrame:
     """Rows ``(problem, rows)``, one per required-field problem, zero counts included."""
     problems = _problems()

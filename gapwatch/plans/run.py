@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from gapwatch.names import ALL_SEGMENTS
 from gapwatch.operators import results
-from gapwatch.operators.frequency import event_type_frequency, types_from_blocks, types_per_sequence
-from gapwatch.operators.serials import received_serials
+from gapwatch.operators.frequency import event_type_frequency, types_resolved
 from gapwatch.operators.summary import facts_from_blocks, summary_of, typed_blocks
 from gapwatch.operators.validate import assert_valid, watch_violations
 from gapwatch.plans.session import use_utc
@@ -42,17 +41,16 @@ def checked_facts(events: DataFrame, until: ExitStack) -> tuple[DataFrame, DataF
 
     One pass over the source does it: the required-field counts ride along
     while the events fold into typed blocks, and the blocks, not the events,
-    are stored. Only where copies of a serial differ in type does counting
-    types take a second pass, to find which copy wins.
+    are stored. Counting types looks at events again only in the blocks whose
+    copies of a serial differ in type.
     """
     watched, watch = watch_violations(events)
     typed = keep(typed_blocks(watched), until)
     facts = keep(facts_from_blocks(typed), until)
-    totals = facts.agg(F.count(F.lit(1)).alias("sequences"), F.sum("conflicting_serials").alias("conflicting")).first()
     # Without any event nothing was watched, and nothing can be wrong.
-    if totals["sequences"] and any(watch.get.values()):
+    if facts.count() and any(watch.get.values()):
         assert_valid(events)
-    return facts, types_per_sequence(received_serials(events)) if totals["conflicting"] else types_from_blocks(typed)
+    return facts, types_resolved(typed, events)
 
 
 def run(
@@ -78,10 +76,19 @@ def run(
             write(result.withColumnsRenamed(dict(column_names or {})), f"{out_dir.rstrip('/')}/{name}")
 
 
-def run_feed(spark: SparkSession, data_dir: str, out_dir: str, segment: str = ALL_SEGMENTS, **options) -> None:
-    """``run`` over the feed's files."""
+def run_feed(
+    spark: SparkSession, data_dir: str, out_dir: str, segment: str = ALL_SEGMENTS, quarantine: bool = False, **options
+) -> None:
+    """``run`` over the feed's files.
+
+    With ``quarantine`` records that don't read as declared do not fail the run:
+    they are written to ``quarantine``, their number by file to ``quarantine_counts``.
+    """
     use_utc(spark)
-    run(
-        feed.load_received(spark, data_dir), feed.load_registry(spark, data_dir), out_dir,
-        segment=segment, segments=feed.SEGMENTS, **options,
-    )
+    if quarantine:
+        events, registry, bad = feed.load_apart(spark, data_dir)
+        write_json(bad, f"{out_dir.rstrip('/')}/quarantine")
+        write_json(bad.groupBy("file", "kind").agg(F.count("record").alias("records")), f"{out_dir.rstrip('/')}/quarantine_counts")
+    else:
+        events, registry = feed.load_received(spark, data_dir), feed.load_registry(spark, data_dir)
+    run(events, registry, out_dir, segment=segment, segments=feed.SEGMENTS, **options)

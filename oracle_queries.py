@@ -150,9 +150,9 @@ SELECT '{label}' AS segment, count(*) AS sequences,
   CAST(coalesce(max(lost_events), 0) AS BIGINT) AS max_lost_in_one_sequence,
   count(*) FILTER (WHERE duplicate_events > 0) AS sequences_with_duplicates,
   CAST(coalesce(sum(duplicate_events), 0) AS BIGINT) AS duplicate_events,
-  (SELECT string_agg(event_type, '|' ORDER BY event_type) FROM last_types WHERE rank = 1)
+  coalesce((SELECT string_agg(event_type, '|' ORDER BY event_type) FROM last_types WHERE rank = 1), '')
     AS most_common_last_event_type,
-  (SELECT string_agg(event_type, '|' ORDER BY event_type) FROM frequency WHERE rank = 1)
+  coalesce((SELECT string_agg(event_type, '|' ORDER BY event_type) FROM frequency WHERE rank = 1), '')
     AS most_frequent_event_type
 FROM summary"""
 
@@ -282,7 +282,7 @@ def all_queries() -> dict[str, str]:
           FROM events
           UNION ALL
           SELECT conv_id, turn, turn * 1000, make_timestamp(turn * 1000000), role FROM conversations""",
-        "segment_filtered": _attached(_CLICKS, "7") + attached_columns,
+        "segment_filtered": _attached(_CLICKS, "3") + attached_columns,
         "segment_filtered_b": _attached(_LINES, "2-HIGH") + attached_columns,
         "required_field_violations": """
 SELECT 'sequence_id is missing' AS problem, count(*) FILTER (WHERE event_type = 'signup' AND value < 5) AS rows FROM events
@@ -292,7 +292,7 @@ UNION ALL SELECT 'offset_ms is missing or negative', count(*) FILTER (WHERE floo
 UNION ALL SELECT 'arrival is missing', count(*) FILTER (WHERE event_type = 'error' AND value < 2) FROM events""",
         **_pairs("sequence_summary", lambda s: _summarised(s) + " SELECT * FROM summary"),
         "sequence_summary_control": _summarised(_TURNS) + " SELECT * FROM summary",
-        "sequence_summary_segment": _summarised(_CLICKS, "7") + " SELECT * FROM summary",
+        "sequence_summary_segment": _summarised(_CLICKS, "3") + " SELECT * FROM summary",
         "sequence_summary_segment_b": _summarised(_LINES, "2-HIGH") + " SELECT * FROM summary",
         "sequence_summary_stable": _summarised(_STABLE) + " SELECT * FROM summary",
         "frequency_from_blocks": _attached(_STABLE, None) + f",{_FREQUENCY} SELECT * FROM frequency",
@@ -308,10 +308,10 @@ FROM (SELECT sequence_id, serial_id, count(DISTINCT event_type) AS types FROM re
         **_pairs("last_event_types",
                  lambda s: _summarised(s) + f",{_LAST_COUNTS},{_LAST_TYPES} SELECT * FROM last_types"),
         **_pairs("event_type_frequency", lambda s: _attached(s, None) + f",{_FREQUENCY} SELECT * FROM frequency"),
-        "event_type_frequency_segment": _attached(_CLICKS, "7") + f",{_FREQUENCY} SELECT * FROM frequency",
+        "event_type_frequency_segment": _attached(_CLICKS, "3") + f",{_FREQUENCY} SELECT * FROM frequency",
         "event_type_frequency_segment_b": _attached(_LINES, "2-HIGH") + f",{_FREQUENCY} SELECT * FROM frequency",
         **_pairs("run_summary", lambda s: _run_summary(s, "all")),
-        "run_summary_segment": _run_summary(_CLICKS, "7", "7"),
+        "run_summary_segment": _run_summary(_CLICKS, "3", "3"),
         "run_summary_segment_b": _run_summary(_LINES, "2-HIGH", "2-HIGH"),
         "null_profile": f"""WITH {_PAYLOAD}
 SELECT * FROM (

@@ -7,7 +7,7 @@ from conftest import CHANGE, CREATE, DOWN, EVENTS, HOUR, PAGE, rows_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwatch.functions import exact_quantiles, leaf_fields, payload_json
+from gapwatch.functions import exact_quantiles, leaf_fields, payload_json, quantiles
 from gapwatch.operators import profile as measures
 from gapwatch.operators.summary import sequence_facts
 
@@ -124,3 +124,33 @@ def test_exact_quantiles_of_few_values(spark, n):
 
 def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(spark.range(0), "id", [0.5]).collect() == []
+
+
+def test_no_pass_of_the_quantiles_hands_out_more_than_its_ranges(spark, monkeypatch):
+    # A fixed share of the values lies between the sketch's bounds at any size; here a pass yields counts only.
+    values = spark.range(200_000).selectExpr("CAST(pmod(xxhash64(id), 1000003) AS DOUBLE) AS x")
+    brackets = dict.fromkeys((0, 99_999, 100_000, 199_999), quantiles._Bracket(0.0, 1_000_002.0, 0))
+    seen = []
+    collect = type(values).collect
+    monkeypatch.setattr(type(values), "collect", lambda frame: seen.append(collect(frame)) or seen[-1])
+    narrowed = quantiles._narrowed(values.withColumnRenamed("x", "v"), brackets, 50)
+    assert len(seen[0]) <= 50 and sum(row["n"] for row in seen[0]) == 200_000
+    assert all(b.high - b.low < 1_000_003 / 40 for b in narrowed.values())
+
+
+def test_a_rank_outside_its_bracket_is_an_error(spark):
+    values = spark.range(10).selectExpr("CAST(id AS DOUBLE) AS v")
+    with pytest.raises(AssertionError, match="rank 50"):
+        quantiles._narrowed(values, {50: quantiles._Bracket(0.0, 9.0, 0)}, 4)
+
+
+@pytest.mark.parametrize("coarse_bits", [0, 3, 16])
+def test_ranked_values_agree_with_sorting(spark, coarse_bits):
+    rows = [(key, value * value - 40, 1 + (value * 7) % 5) for key in ("a", "b", None) for value in range(30)]
+    counts = spark.createDataFrame(rows, "key string, x bigint, n bigint")
+    found = rows_of(quantiles.ranked_values(counts, ("key",), "x", "n", (1, 50, 99, 100), coarse_bits), "key", "percent", "x")
+    expected = []
+    for key in ("a", "b", None):
+        spelled = sorted(x for k, x, n in rows if k == key for _ in range(n))
+        expected += [(key, p, spelled[max((p * len(spelled) + 99) // 100, 1) - 1]) for p in (1, 50, 99, 100)]
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))

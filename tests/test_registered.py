@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import oracle_monitoring
 import oracle_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "supplier", "lineitem", "orders", "conversations")
 #: The queries of the library itself; operators installed beside it have tests of their own.
-SQL = oracle_queries.all_queries()
+SQL = oracle_queries.all_queries() | oracle_monitoring.all_queries()
 QUERIES = {name: query for name, query in entry.queries().items() if name in SQL}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="sample tables are not there")
