@@ -33,7 +33,8 @@ BANDS, ROWS = 32, 4
 BITS = 2
 #: Standard errors that an estimate may fall below the threshold before the pair is given up.
 MARGIN = 5.5
-BLOCK = 1024
+#: Nodes, and shingles of all their sets, that a block is meant to hold; bytes of sets that a task keeps of them.
+BLOCK, BLOCK_SHINGLES, HELD_BYTES = 1024, 1 << 20, 32 << 20
 
 _SEEDS = np.random.default_rng(20240229)
 _MULTIPLY = _SEEDS.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -129,7 +130,7 @@ def _confirm(percent: int):
                 if u != held_node:
                     held, held_node = _unpacked_set(batch.column("u_text")[i].as_py()), u
                 other = _unpacked_set(batch.column("v_text")[i].as_py())
-                common = len(held) + len(other) - len(np.union1d(held, other))
+                common = _in_common(held, other)
                 if 100 * common >= percent * (len(held) + len(other) - common):
                     kept["u"].append(u)
                     kept["v"].append(v)
@@ -138,11 +139,32 @@ def _confirm(percent: int):
     return confirm
 
 
+class _HeldSets:
+    """The sets of a block's rows, made when asked for; the oldest are dropped beyond a number of bytes."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        self._texts, self._held, self._size = texts, {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        found = self._held.get(i)
+        if found is None:
+            found = self._held[i] = _unpacked_set(self._texts[i].as_py())
+            self._size += found.nbytes
+            while self._size > HELD_BYTES and len(self._held) > 2:
+                self._size -= self._held.pop(next(iter(self._held))).nbytes
+        return found
+
+
+def _in_common(one: np.ndarray, other: np.ndarray) -> int:
+    """Size of the intersection of two sets as sorted arrays."""
+    return int((one[np.minimum(np.searchsorted(one, other), len(one) - 1)] == other).sum())
+
+
 def _link_blocks(percent: int):
     """Links that join components among the rows of a block pair, confirmed on whole sets.
 
     Pairs of one component, as far as it is known here, need no check, so a group
-    of copies costs a link per copy; each row's set is made once.
+    of copies costs a link per copy.
     """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
     floor = least_estimate(percent / 100)
@@ -153,14 +175,7 @@ def _link_blocks(percent: int):
                 rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "block"))
             first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
             signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(len(nodes), -1)
-            texts = rows.column("packed_text")
-            sets: dict[int, frozenset] = {}
-
-            def set_of(i: int) -> frozenset:
-                if i not in sets:
-                    sets[i] = frozenset(_unpacked_set(texts[i].as_py()).tolist())
-                return sets[i]
-
+            sets = _HeldSets(rows.column("packed_text"))
             parts = parts.copy()
             right = np.flatnonzero(block == second)
             kept: dict[str, list] = {"u": [], "v": []}
@@ -174,8 +189,8 @@ def _link_blocks(percent: int):
                 for j in against[estimated(signatures[i], signatures[against]) >= floor].tolist():
                     if parts[j] == parts[i]:
                         continue
-                    one, other = set_of(int(i)), set_of(j)
-                    common = len(one & other)
+                    one, other = sets[int(i)], sets[j]
+                    common = _in_common(one, other)
                     if 100 * common >= percent * (len(one) + len(other) - common):
                         parts[parts == parts[j]] = parts[i]
                         kept["u"].append(int(min(nodes[i], nodes[j])))
@@ -316,16 +331,17 @@ def grouped(docs: DataFrame, percent: int, id_column: str, text_column: str) ->
 
     # Buckets that still hold several components, compared in blocks.
     placed = members.join(labels, "node", "left").select(
-        "band", "node", "members", F.coalesce("component", "node").alias("component"))
+        "band", "node", F.coalesce("component", "node").alias("component"))
     # Of buckets with the same members (near copies share many bands) one is compared.
     open_buckets = placed.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("bag"), F.sum(F.shiftright(F.xxhash64("node", F.lit(1)), 24)).alias("sum"),
     ).filter("low != high").groupBy("n", "bag", "sum").agg(F.min("band").alias("band")).select("band")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = placed.join(open_buckets, "band").join(candidates, "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    rows = placed.join(open_buckets, "band").join(nodes.select("node", "n_shingles"), "node")
+    blocks = rows.groupBy("band").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = rows.drop("n_shingles").join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(candidates, "node").select(
         "band", "node", "component", "n_shingles", "signature", "packed_text", "block",
         F.least("block", "other").alias("first_block"), F.greatest("block", "other").alias("second_block"))
     more = written(rows.repartition("band", "first_block", "second_block").sortWithinPartitions(
