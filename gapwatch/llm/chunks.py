@@ -7,13 +7,17 @@ ids of those it has met, in a memory of bounded size.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import regex
 
 #: Fixed by Unicode: what Python's split() takes for white space and White_Space does not.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+LONGEST_KEPT = 256
 _SPACE = regex.compile(r"\p{White_Space}+")
 
 
@@ -24,22 +28,52 @@ def chunks_of(text: str) -> list[str]:
 
 
 class ChunkIds:
-    """Ids of texts; ``encode`` gives the ids of each of a list of chunks."""
+    """Ids of texts; ``encode`` gives the ids of each of a list of chunks.
+
+    At most ``most`` chunks of up to LONGEST_KEPT characters are remembered.
+    """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[Iterable[int]]], most: int = 200_000):
         self._encode, self._most, self._known = encode, most, {}
 
-    def ids(self, text: str) -> np.ndarray:
-        chunks = chunks_of(text)
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; chunks that no text had before are encoded in one call for all of them."""
+        split = [chunks_of(text) for text in texts]
         known = self._known
-        try:
-            return np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4")
-        except KeyError:
-            pass
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        found = {c: np.asarray(list(i), dtype="<u4").tobytes() for c, i in zip(missing, self._encode(missing))}
-        own = {c: known[c] for c in set(chunks) if c in known} | found
-        if len(known) + len(found) > self._most:
-            known.clear()
-        known.update(found)
-        return np.frombuffer(b"".join([own[c] for c in chunks]), dtype="<u4")
+        missing = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in known]
+        if missing:
+            found = zip(missing, (np.asarray(ids, dtype="<u4").tobytes() for ids in self._encode(missing)))
+            if len(known) + len(missing) > self._most:
+                own = {c: known[c] for c in set(chain.from_iterable(split)) if c in known}
+                known = self._known = {}
+            else:
+                own = known
+            own.update(found)
+            if own is not known:
+                known.update((c, own[c]) for c in missing if len(c) <= LONGEST_KEPT)
+        else:
+            own = known
+        ids = [np.frombuffer(b"".join([own[c] for c in chunks]), dtype="<u4") for chunks in split]
+        if own is known:
+            for c in missing:
+                if len(c) > LONGEST_KEPT:
+                    del known[c]
+        return ids
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.ids_of([text])[0]
+
+
+@cache
+def tokenizer_of(path: str):
+    """The tokenizer of a file, loaded once per Python worker, whole texts, without threads of its own.
+
+    Spark's tasks already use all cores; the library's threads would compete with them.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    return tokenizer

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.llm.chunks import ChunkIds
+from gapwatch.llm.chunks import ChunkIds, tokenizer_of
 from gapwatch.llm.common import small_batches
 
 #: Pieces that compete for a place at a time.
@@ -120,17 +120,14 @@ def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _pack_batches(path: str, end: int | None, limits: dict, has_loss: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
-        encoder = ChunkIds(lambda chunks: (e.ids for e in tokenizer.encode_batch(chunks, add_special_tokens=False)))
+        tokenizer = tokenizer_of(path)
+        encoder = ChunkIds(lambda chunks: (e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)))
         packer = Packer(TaskContext.get().partitionId() << 33, **limits)
         last = np.array([] if end is None else [end], dtype="<u4")
         for batch in batches:
+            encoded = encoder.ids_of(batch.column("text").to_pylist())
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                ids = np.concatenate((encoder.ids(batch.column("text")[i].as_py()), last)).astype("<u4")
+                ids = np.concatenate((encoded[i], last)).astype("<u4")
                 bears = None
                 if has_loss:
                     bears = np.full(len(ids), bool(batch.column("bears_loss")[i].as_py()))
