@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from gapwatch.llm.common import id_and_text, small_batches
 
 _NEVER = 1 << 60
 _MOST_ARCS = 2_000_000
+#: Letters of a word whose states are looked up as they are needed.
+LONGEST_WALKED = 256
 #: Fixed by the tokenizer file: the pattern of words (only this one is supported) and the end-of-word mark.
 WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 END = "</w>"
@@ -78,24 +81,34 @@ class MergeAutomaton:
 
     def path(self, letters: str, end: str = END) -> list[int]:
         """The arcs (token ids) from the start to the end of a word, given as byte letters."""
-        n, ids, arcs = len(letters), self._ids, self._arcs
+        n, get, arcs, longest = len(letters), self._ids.get, self._arcs, self._longest
+        whole = get(letters + end)
+        if whole is not None:
+            return [whole]
         state: list[int] = [-1] * (n + 1)
         back = [0] * (n + 1)
-        for i in range(1, n + 1):
-            tail = end if i == n else ""
-            for j in range(max(0, i - self._longest), i):
-                token = ids.get(letters[j:i] + tail)
+
+        def reach(i: int, tail: str) -> int:
+            """The state after ``i`` letters; of earlier places only those a label of the vocabulary starts at are visited."""
+            for j in range(max(0, i - longest), i):
+                token = get(letters[j:i] + tail)
                 if token is None:
                     continue
                 if j:
-                    last = state[j]
+                    last = state[j] if state[j] >= 0 else reach(j, "")
                     found = arcs.get((last, token))
                     if not (self.has_arc(last, token) if found is None else found):
                         continue
                 state[i], back[i] = token, j
-                break
-            if state[i] < 0:
-                raise ValueError(f"no path for {letters!r}")
+                return token
+            raise ValueError(f"no path for {letters!r}")
+
+        if n > LONGEST_WALKED:
+            # In order, so that no visit leads to another.
+            for i in range(1, n):
+                reach(i, "")
+        if n:
+            reach(n, end)
         out = []
         while n:
             out.append(state[n])
@@ -140,19 +153,28 @@ class WordBpe:
     def encode(self, text: str) -> np.ndarray:
         return self._ids.ids(text)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        return self._ids.ids_of(texts)
+
     def decode(self, ids: Iterable[int]) -> str:
         """The labels of the arcs, joined by spaces, as the file names no decoder."""
         labels = self.labels
         return " ".join([labels[i] for i in ids])
 
 
+@cache
+def _bpe_of(path: str) -> WordBpe:
+    """The automaton of a file, built once per Python worker."""
+    return WordBpe(path)
+
+
 def _round_trip(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.large_string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
+        bpe = _bpe_of(path)
         for batch in batches:
-            ids = [bpe.encode(t.as_py()) for t in batch.column("text")]
+            ids = bpe.encode_all(batch.column("text").to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
             values = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays([
