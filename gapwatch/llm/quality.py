@@ -7,6 +7,8 @@ sources or texts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Phrases of page furniture; a line with one of them goes.
+#: Phrases of page furniture; a short line with one of them goes.
+MOST_FURNITURE_WORDS = 15
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "terms and conditions",
     "use of cookies", "uses cookies", "enable javascript", "subscribe to our", "sign up for our", "click here",
@@ -30,17 +33,15 @@ BOILERPLATE = (
 _ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_share", "base_failed", "kept", "clean_text")
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def _visible(text: Column) -> Column:
     """Number of characters that are no white space."""
-    return F.length(_without(text, SPACES))
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(""))
+    return F.length(text)
 
 
 def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(_without(text, characters))
+    return F.regexp_count(text, F.lit("[" + re.escape(characters) + "]"))
 
 
 def _line_fails(line: Column) -> Column:
@@ -49,19 +50,17 @@ def _line_fails(line: Column) -> Column:
     * punctuation: more symbols, or more exclamation and question marks, than a third of its words;
     * navigation: three or more cells cut by bars, bullets or angle quotes, or no sentence at all
       (under five words, no sentence mark) where each word starts with a capital or digit;
-    * boilerplate: a phrase of page furniture.
+    * boilerplate: a phrase of page furniture, as whole words, in a line of at most MOST_FURNITURE_WORDS words.
     """
-    words = F.size(F.split(F.btrim(line, F.lit(SPACES)), WORD_BREAK))
+    split = F.split(F.btrim(line, F.lit(SPACES)), WORD_BREAK)
+    words = F.size(split)
     symbols = _count(line, SYMBOLS + "{}~^=_\\")
     marks = _count(line, "!?")
     cells = _count(line, "|•»›")
-    menu = (words < 5) & ~line.rlike("[.!?:;,…。]") & line.rlike("^(\\s*[\\p{Lu}\\p{N}]\\S*)+\\s*$")
-    return (
-        (symbols * 3 > words) | (marks * 3 > words) | (cells >= 3) | menu
-        | F.lower(line).rlike("|".join(BOILERPLATE))
-    )
-
-
+    titled = F.forall(split, lambda word: F.substring(word, 1, 1).rlike("[\\p{Lu}\\p{N}]"))
+    menu = (words < 5) & ~line.rlike("[.!?:;,…。]") & titled
+    furniture = (words <= MOST_FURNITURE_WORDS) & F.lower(line).rlike("\\b(?:" + "|".join(BOILERPLATE) + ")\\b")
+    return (symbols * 3 > words) | (marks * 3 > words) | (cells >= 3) | menu | furniture
 
 
 def _assessed(docs: DataFrame, text_column: str) -> DataFrame:
@@ -106,8 +105,8 @@ def _assessed(docs: DataFrame, text_column: str) -> DataFrame:
     covered = F.transform("_twice", lambda p, i: F.least(
         F.lit(WINDOW).cast("bigint"), F.coalesce(F.get("_twice", i + 1) - p, F.lit(WINDOW).cast("bigint"))))
     step = step.withColumn("_n_repeat_words", F.aggregate(covered, F.lit(0).cast("bigint"), lambda a, x: a + x))
-    left = F.aggregate(F.transform("_passed", _visible), F.lit(0), lambda a, x: a + x)
-    return step.withColumns({"_left_chars": left.cast("bigint"), "_clean_text": F.array_join("_passed", "\n")}).drop(
+    step = step.withColumn("_clean_text", F.array_join("_passed", "\n"))
+    return step.withColumn("_left_chars", _visible(F.col("_clean_text")).cast("bigint")).drop(
         "_ones", "_bits", "_sorted", "_twice", "_passed")
 
 
