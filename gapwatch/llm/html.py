@@ -40,6 +40,8 @@ IMPLIED = {
 }
 SCOPES = frozenset("table td th caption html button object template".split())
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+DEEPEST = 512
+_WHOLE = re.compile(r"[+-]?[0-9]{1,9}")
 _RUN = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -50,12 +52,23 @@ class _Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def _number(value: str, default: int) -> int:
+    """A whole number as attributes write it; anything else, and what no list or table needs, is the default."""
+    found = _WHOLE.fullmatch(value.strip())
+    return int(found[0]) if found else default
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {})
         self._open = [self.root]
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![…]>`` of any kind is skipped; one that does not end takes the rest of its tag."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def _close(self, targets: set[str] | frozenset[str], scope) -> None:
         """End the innermost element of ``targets`` that is open within ``scope``, with all inside it."""
         for i in range(len(self._open) - 1, 0, -1):
@@ -78,7 +91,8 @@ class _Builder(HTMLParser):
             self._open.pop()
         node = _Node(tag, {k: v or "" for k, v in attrs})
         self._open[-1].children.append(node)
-        if tag not in VOID:
+        # Deeper elements stay beside each other, as in browsers; it also bounds the search for an open tag.
+        if tag not in VOID and len(self._open) < DEEPEST:
             self._open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -231,8 +245,7 @@ def rendered(html: str) -> str:
                 # a list inside a list has no margin
                 page.margin() if tag in MARGINS and not (tag in ("ul", "ol", "menu", "dir") and lists) else page.end_line()
                 if tag in ("ul", "ol", "menu", "dir"):
-                    start = node.attrs.get("start", "")
-                    lists.append([int(start) if start.lstrip("-").isdecimal() else 1] if tag == "ol" else [None])
+                    lists.append([_number(node.attrs.get("start", ""), 1)] if tag == "ol" else [None])
                 elif tag == "li":
                     number = lists[-1][0] if lists else None
                     page.marker = "- " if number is None else f"{number}. "
@@ -251,8 +264,8 @@ def rendered(html: str) -> str:
             if not tables[-1]:
                 tables[-1].append([])
             tables[-1][-1].append(cell)
-            span = node.attrs.get("colspan", "1")
-            tables[-1][-1].extend([[]] * (min(int(span), 1000) - 1 if span.isdecimal() else 0))
+            span = _number(node.attrs.get("colspan", ""), 1)
+            tables[-1][-1].extend([[]] * (min(max(span, 1), 1000) - 1))
         elif tag == "table" and tables:
             page.end_line()
             for line in _laid_out(tables.pop()):
