@@ -124,12 +124,14 @@ def kd_shards(
             F.col(id_column).cast("bigint").alias("doc_id"), size.alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             *(column.cast("double").alias(name) for name, column in zip(names, dimensions.values())),
+            # Tells rows of one id and text apart; fixed from here on.
+            F.monotonically_increasing_id().alias("_row"),
         ), "shard-rows")
     extent = meta.agg(
         F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
         *(f(n).alias(n + s) for n in names for f, s in ((F.min, "l"), (F.max, "h"))),
     ).first()
-    tie = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << TIE_BITS))
+    tie = F.pmod(F.xxhash64("doc_id", "text_crc32", "_row"), F.lit(1 << TIE_BITS))
     rows = meta.select(
         "doc_id", "size", "text_crc32", tie.alias("_tie"), F.col("size").alias("_weight"),
         *(_scaled(F.col(n), extent[n + "l"], extent[n + "h"]).alias(n) for n in names),
