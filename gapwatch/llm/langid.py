@@ -7,20 +7,20 @@ character n-grams that were seen, from LONGEST letters down to one.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwatch.llm.common import small_batches
 
 LONGEST = 4
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def _words(chunk: str) -> list[str]:
@@ -128,7 +128,7 @@ def fit_languages(
         F.col(lang_column).cast("string").alias("lang"), text.alias("text"))
     n = rows.count()
     share = min(1.0, fit_rows / max(1, n))
-    rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + (share == 1.0))
+    rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 62)) <= F.lit(int(share * (1 << 62))))
     # A text that was copied often counts once per language.
     rows = rows.groupBy("lang", "text").agg(F.lit(1).alias("one")).select("lang", "text")
     counts = small_batches(rows).mapInArrow(_count, "kind string, lang string, item string, count bigint").groupBy(
