@@ -231,11 +231,12 @@ def fit_lexicon(
         (F.max("toxic") > 0).cast("int").alias("toxic"))
     n = rows.count()
     share = min(1.0, fit_rows / max(1, n))
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + (share == 1.0))
+    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) <= F.lit(int(share * (1 << 62))))
     sample = small_batches(id_and_text(docs, id_column, text_column)).join(F.broadcast(rows), "doc_id").select("toxic", "text")
     sample = sample.mapInArrow(_labelled_words, "toxic int, sign bigint, words array<string>, text string")
-    # One row per sign keeps one of a group of near copies, mostly.
-    sample = sample.dropDuplicates(["sign", "toxic"]).persist()
+    # One row per sign keeps one of a group of near copies, mostly: the smallest, whatever order the rows come in.
+    sample = sample.groupBy("sign", "toxic").agg(F.min(F.struct("text", "words")).alias("row")).select(
+        "sign", "toxic", "row.words", "row.text").persist()
     try:
         sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
         known = {w: KNOWN_WEIGHT for w in KNOWN}
