@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: Fixed by the contracts: words are separated by these characters.
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows that Spark hands to Python at once; bounds memory when texts are long.
-BATCH_ROWS = 256
+#: Rows, and bytes, that Spark hands to Python at once; bounds memory when texts are long.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,8 +40,9 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(frame: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """Let Spark hand at most ``rows`` rows to Python at once, in this session."""
+    """Let Spark hand at most ``rows`` rows, or one row of more than BATCH_BYTES, to Python at once, in this session."""
     conf = frame.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return frame

@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_sequences(docs: DataFrame) -> DataFrame:
-    return packing.pack(docs, tokenizer_path(), tokens=2048, segments=256, loss_tokens=2048).select(
+    return packing.pack(docs, tokenizer_path(), tokens=2048, segments=2048, loss_tokens=2048).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
         "segment", "loss_tokens")
 
@@ -56,7 +56,8 @@ def bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _remainder(of: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+    """crc32(doc_id as text) mod ``of``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
 
 
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
