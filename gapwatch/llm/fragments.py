@@ -277,6 +277,18 @@ class _Held:
         return self._held[i]
 
 
+def _stacked(bits: list[np.ndarray], rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows and their parities, by the parities' width."""
+    widths = np.array([len(bits[i]) for i in rows])
+    return [(same, np.stack([bits[i] for i in same])) for w in np.unique(widths) for same in [rows[widths == w]]]
+
+
+def _likely_rows(i: int, bits: list[np.ndarray], stacks: list, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of the stacks that sizes and parities allow to be linked to row ``i``."""
+    found = [at[may_link(bits[i], int(sizes[i]), stack, sizes[at], percent)] for at, stack in stacks]
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
 def _link_blocks(order: Order, percent: int):
     """Links that join components between two blocks of a group.
 
@@ -291,24 +303,20 @@ def _link_blocks(order: Order, percent: int):
             parts = parts.copy()
             first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
             held = _Held(rows.column("packed_text"), order)
-            bits = [parity(held.grams(i), WIDE) for i in range(len(nodes))]
-            widths = np.array([len(b) for b in bits])
-
-            def stacked(at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-                """Rows and their parities, by the parities' width."""
-                return [(same, np.stack([bits[i] for i in same])) for w in np.unique(widths[at]) for same in [at[widths[at] == w]]]
-
-            def likely(i: int, stacks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-                found = [at[may_link(bits[i], int(sizes[i]), stack, sizes[at], percent)] for at, stack in stacks]
-                return np.concatenate(found) if found else np.empty(0, np.int64)
-
             left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-            stacks, some = stacked(right), stacked(right[::max(1, len(right) // 64)])
+            bits = [np.frombuffer(b.as_buffer(), np.uint8) for b in rows.column("bits")]
+            near, some = _stacked(bits, right), _stacked(bits, right[::max(1, len(right) // 64)])
+            wide = wide_stacks = None
             kept: list[tuple[int, int]] = []
-            for i in sorted(left.tolist(), key=lambda i: -len(likely(i, some))):
-                if (parts[right] == parts[i]).all():
+            for i in sorted(left.tolist(), key=lambda i: -len(_likely_rows(i, bits, some, sizes, percent))):
+                found = _likely_rows(i, bits, near, sizes, percent)
+                if (parts[found] == parts[i]).all():
                     continue
-                for j in likely(i, stacks).tolist():
+                if wide is None:
+                    # Most groups end above: their texts are not even read.
+                    wide = [parity(held.grams(k), WIDE) for k in range(len(nodes))]
+                    wide_stacks = _stacked(wide, right)
+                for j in _likely_rows(i, wide, wide_stacks, sizes, percent).tolist():
                     if parts[j] != parts[i] and overlap_reaches(held.segments(i), held.segments(j), percent):
                         parts[parts == parts[j]] = parts[i]
                         kept.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
@@ -404,13 +412,13 @@ def similar_groups(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"),
         F.bit_xor(F.xxhash64("node")).alias("bag"), F.sum(F.shiftright(F.xxhash64("node", F.lit(1)), 24)).alias("sum"),
     ).filter("low != high").groupBy("count", "bag", "sum").agg(F.min("gram").alias("gram")).select("gram")
-    rows = placed.join(open_groups, "gram").join(about.select("node", "n"), "node")
+    rows = placed.join(open_groups, "gram").join(about, "node")
     blocks = rows.groupBy("gram").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     rows = rows.join(blocks, "gram").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(candidates, "node").select(
         "gram", F.least("block", "other").alias("first_block"), F.greatest("block", "other").alias("second_block"),
-        "node", "component", "n", "block", "packed_text")
+        "node", "component", "n", "bits", "block", "packed_text")
     keys = ("gram", "first_block", "second_block")
     more = written(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         _link_blocks(order, percent), "u bigint, v bigint").distinct(), "links")
