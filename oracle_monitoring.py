@@ -41,7 +41,7 @@ lost AS (
   SELECT sequence_id, least(us, before_us) + (unnest(range(1, serial_id - before))::HUGEINT * abs(us - before_us)) // (serial_id - before) AS us
   FROM steps WHERE serial_id > before + 1
 ),
-both AS (
+joined AS (
   SELECT date_trunc('day', make_timestamp(us::BIGINT)) AS w, sequence_id, count(*) AS absent, 0 AS received FROM lost GROUP BY ALL
   UNION ALL
   SELECT {_DAY}, sequence_id, 0, count(*) FROM received GROUP BY ALL
@@ -52,7 +52,7 @@ segments AS (
 SELECT w::TIMESTAMP AS window_start, coalesce(segment, 'unknown') AS segment, sum(absent)::BIGINT AS absent_events,
   count(*) FILTER (WHERE absent > 0) AS sequences_with_gaps, sum(received)::BIGINT AS received_rows,
   CASE WHEN sum(received) > 0 THEN round(sum(absent)::BIGINT * 1000 / sum(received)::BIGINT, 3) END AS absent_per_1000
-FROM both LEFT JOIN segments USING (sequence_id) GROUP BY ALL"""
+FROM joined LEFT JOIN segments USING (sequence_id) GROUP BY ALL"""
 
 _COPIES = f"""{_attached(_CLICKS, None)},
 numbered AS (
