@@ -26,11 +26,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from gapwatch.llm.chunks import ChunkIds
+from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, packed
 from gapwatch.llm.common import id_and_text, small_batches
 
 _NEVER = 1 << 60
 _MOST_ARCS = 2_000_000
+_MOST_WORDS = 400_000
 #: Letters of a word whose states are looked up as they are needed.
 LONGEST_WALKED = 256
 #: Fixed by the tokenizer file: the pattern of words (only this one is supported) and the end-of-word mark.
@@ -63,7 +64,9 @@ class MergeAutomaton:
             self._after[c] = [(c, _NEVER)] + [(x, min(rank, until)) for x, until in self._after[b]]
             self._before[c] = [(c, _NEVER)] + [(y, min(rank, until)) for y, until in self._before[a]]
         self._arcs: dict[tuple[int, int], bool] = {}
-        self._longest = max(map(len, vocabulary), default=1)
+        # The labels read from their ends: each ending of a label, with the label's token if it is one itself.
+        self._endings = {label[k:]: -1 for label in vocabulary for k in range(1, len(label))}
+        self._endings.update(vocabulary)
 
     def has_arc(self, state: int, token: int) -> bool:
         found = self._arcs.get((state, token))
@@ -81,19 +84,24 @@ class MergeAutomaton:
 
     def path(self, letters: str, end: str = END) -> list[int]:
         """The arcs (token ids) from the start to the end of a word, given as byte letters."""
-        n, get, arcs, longest = len(letters), self._ids.get, self._arcs, self._longest
-        whole = get(letters + end)
+        whole = self._ids.get(letters + end)
         if whole is not None:
             return [whole]
+        n, endings, arcs = len(letters), self._endings.get, self._arcs
         state: list[int] = [-1] * (n + 1)
         back = [0] * (n + 1)
 
         def reach(i: int, tail: str) -> int:
             """The state after ``i`` letters; of earlier places only those a label of the vocabulary starts at are visited."""
-            for j in range(max(0, i - longest), i):
-                token = get(letters[j:i] + tail)
+            starts = []
+            for j in range(i - 1, -1, -1):
+                token = endings(letters[j:i] + tail if tail else letters[j:i])
                 if token is None:
-                    continue
+                    break
+                if token >= 0:
+                    starts.append((j, token))
+            # Long labels first: there is one arc in, and it is usually one of those.
+            for j, token in reversed(starts):
                 if j:
                     last = state[j] if state[j] >= 0 else reach(j, "")
                     found = arcs.get((last, token))
@@ -135,20 +143,31 @@ class WordBpe:
         self._letters = _byte_letters()
         self._words = regex.compile(WORDS.replace("\\s", "\\p{White_Space}"))
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
+        # Words met lately: chunks differ in case and punctuation more than in words.
+        self._known: dict[str, bytes] = {}
         self._ids = ChunkIds(lambda chunks: map(self._encode_chunk, chunks))
 
-    def _encode_chunk(self, chunk: str) -> list[int]:
-        out: list[int] = []
+    def _encode_word(self, word: str) -> bytes:
+        letters = word if word.isascii() and word.isprintable() else "".join([self._letters[b] for b in word.encode()])
+        ids = packed(self.automaton.path(letters))
+        if len(word) <= LONGEST_KEPT:
+            if len(self._known) >= _MOST_WORDS:
+                self._known.clear()
+            self._known[word] = ids
+        return ids
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        out: list[bytes] = []
         for part in self._special.split(chunk) if self._special and "<" in chunk else [chunk]:
             if part in self.specials:
-                out.append(self.specials[part])
+                out.append(packed([self.specials[part]]))
                 continue
             if not part.isascii():
                 # Letter by letter: the final form of sigma is not chosen by its place.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             for word in self._words.findall(part.lower()):
-                out += self.automaton.path("".join([self._letters[b] for b in word.encode()]))
-        return out
+                out.append(self._known.get(word) or self._encode_word(word))
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
         return self._ids.ids(text)

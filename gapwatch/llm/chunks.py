@@ -27,13 +27,18 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+def packed(ids: Iterable[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return np.asarray(ids, dtype="<u4").tobytes()
+
+
 class ChunkIds:
-    """Ids of texts; ``encode`` gives the ids of each of a list of chunks.
+    """Ids of texts; ``encode`` gives the ids of each of a list of chunks, as the bytes of ``packed``.
 
-    At most ``most`` chunks of up to LONGEST_KEPT characters are remembered.
+    At most ``most`` chunks of up to LONGEST_KEPT characters are remembered, about 200 bytes each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Iterable[int]]], most: int = 200_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 400_000):
         self._encode, self._most, self._known = encode, most, {}
 
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
@@ -42,7 +47,7 @@ class ChunkIds:
         known = self._known
         missing = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in known]
         if missing:
-            found = zip(missing, (np.asarray(ids, dtype="<u4").tobytes() for ids in self._encode(missing)))
+            found = zip(missing, self._encode(missing))
             if len(known) + len(missing) > self._most:
                 own = {c: known[c] for c in set(chain.from_iterable(split)) if c in known}
                 known = self._known = {}

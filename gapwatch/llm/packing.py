@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.llm.chunks import ChunkIds, tokenizer_of
+from gapwatch.llm.chunks import ChunkIds, packed, tokenizer_of
 from gapwatch.llm.common import small_batches
 
 #: Pieces that compete for a place at a time.
@@ -121,7 +121,7 @@ def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def _pack_batches(path: str, end: int | None, limits: dict, has_loss: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
-        encoder = ChunkIds(lambda chunks: (e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)))
+        encoder = ChunkIds(lambda chunks: (packed(e.ids) for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)))
         packer = Packer(TaskContext.get().partitionId() << 33, **limits)
         last = np.array([] if end is None else [end], dtype="<u4")
         for batch in batches:
