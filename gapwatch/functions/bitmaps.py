@@ -47,6 +47,16 @@ def copy_order(position: Column, arrival: str) -> Column:
     return (upper + F.coalesce(instant, F.lit(Decimal(0)))).cast("decimal(24,0)")
 
 
+def arrival_order(arrival: str, serial: str) -> Column:
+    """One number that sorts events by arrival, then by serial; nulls come first, as in a struct of the two.
+
+    Years 1 to 9999 in microseconds keep within 2**58, so the product fits the 38 digits of a decimal.
+    """
+    instant = F.coalesce(F.unix_micros(arrival), F.lit(-(1 << 58))).cast("decimal(18,0)")
+    lowest = F.lit(-(1 << 63))
+    return (instant * F.lit(Decimal(_ARRIVALS)) + F.coalesce(F.col(serial), lowest)).cast("decimal(38,0)")
+
+
 def ordered_position(order: str) -> Column:
     """The position a ``copy_order`` value was made from.
 
@@ -56,43 +66,62 @@ def ordered_position(order: str) -> Column:
     return F.floor(F.col(order) / F.lit(Decimal(_ARRIVALS))).cast("bigint")
 
 
-def _text(bits) -> Column:
-    """Binary text of a bitmap: the highest received serial first, leading zeros left out."""
-    return F.bin(bits)
+def _down(bits: Column, by) -> Column:
+    """Bits moved down, zeros from above."""
+    return F.call_function("shiftrightunsigned", bits, by)
 
 
-def lowest_serial(block, bits) -> Column:
-    """The first received serial of a block: its trailing zeros are absent serials."""
-    trailing = F.length(_text(bits)) - F.length(F.rtrim(_text(bits), F.lit("0")))
-    return serial_at(block, trailing)
+def _lowest(bits: Column) -> Column:
+    """Position of the lowest bit. The sign bit is set aside: arithmetic below it can't overflow."""
+    below = bits.bitwiseAND(F.lit((1 << LAST_POSITION) - 1))
+    return F.when(below == 0, LAST_POSITION).otherwise(F.bit_count((below - 1).bitwiseAND(F.bitwise_not(below))))
 
 
-def highest_serial(block, bits) -> Column:
-    return serial_at(block, F.length(_text(bits)) - 1)
+def _highest(bits: Column) -> Column:
+    """Position of the highest bit.
 
+    Bits under a set bit are cleared first. What is left has no two ones side by side,
+    so it lies below 4/3 of its power of two, and neither the double nor the
+    logarithm, read a quarter up, can reach another one.
+    """
+    sparse = bits.bitwiseAND(F.bitwise_not(_down(bits, F.lit(1))))
+    return F.when(bits < 0, LAST_POSITION).otherwise(F.floor(F.log2(sparse.cast("double")) + 0.25).cast("int"))
 
-def inner_gap_lengths(bits) -> Column:
-    """Lengths of the runs of absent serials between received serials of one block.
 
-    In binary text these are the zeros between ones. Trailing zeros are not
-    enclosed by received serials and are cut first.
-    """
-    runs = F.filter(F.split(F.rtrim(_text(bits), F.lit("0")), "1+"), lambda run: run != "")
-    return F.transform(runs, lambda run: F.length(run).cast("bigint"))
+def _has_hole(bits: Column) -> Column:
+    return F.bit_count(bits) < _highest(bits) - _lowest(bits) + 1
+
+
+def lowest_serial(block, bits: str) -> Column:
+    """The first received serial of a block."""
+    return serial_at(block, _lowest(F.col(bits)))
+
+
+def highest_serial(block, bits: str) -> Column:
+    """The last received serial of a block."""
+    return serial_at(block, _highest(F.col(bits)))
+
+
+def _before_holes(bits: Column) -> Column:
+    """Positions of received serials whose next one is absent while a later one is there."""
+    ends = F.filter(
+        F.sequence(F.lit(0), F.lit(LAST_POSITION - 1)),
+        lambda at: (_down(bits, at).bitwiseAND(F.lit(3)) == 1) & (_down(bits, at + 1) != 0))
+    # Blocks without a hole, nearly all of them, are not spelled out.
+    return F.when(_has_hole(bits), ends).otherwise(F.array().cast("array<int>"))
+
+
+def inner_gap_lengths(bits: str) -> Column:
+    """Lengths of the runs of absent serials between received serials of one block."""
+    return F.transform(
+        _before_holes(F.col(bits)), lambda at: _lowest(_down(F.col(bits), at + 1)).cast("bigint"))
 
 
 def inner_gaps(block, bits) -> Column:
     """Runs of absent serials between received serials of one block, as structs ``(before, after)`` of those serials."""
-    positions = F.filter(
-        F.sequence(F.lit(0), F.lit(LAST_POSITION)),
-        lambda position: F.call_function("shiftright", F.col(bits), position).bitwiseAND(F.lit(1)) == 1)
-    # Blocks without a hole, nearly all of them, are not spelled out.
-    holes = F.length(F.rtrim(_text(bits), F.lit("0"))) > F.bit_count(bits)
-    received = F.when(holes, positions).otherwise(F.array().cast("array<int>"))
-    pairs = F.arrays_zip(received.alias("one"), F.slice(received, 2, F.lit(LAST_POSITION)).alias("next"))
-    apart = F.filter(pairs, lambda pair: pair["next"] > pair["one"] + 1)
-    return F.transform(apart, lambda pair: F.struct(
-        serial_at(block, pair["one"]).alias("before"), serial_at(block, pair["next"]).alias("after")))
+    return F.transform(_before_holes(F.col(bits)), lambda at: F.struct(
+        serial_at(block, at).alias("before"),
+        serial_at(block, at + 1 + _lowest(_down(F.col(bits), at + 1))).alias("after")))
 
 
 def received_between(block: str, bits: str, first: Column, last: Column) -> Column:

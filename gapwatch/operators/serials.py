@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapwatch.functions.bitmaps import bits_of, block_of, highest_serial, inner_gap_lengths, lowest_serial
+from gapwatch.functions.bitmaps import (
+    arrival_order, bits_of, block_of, highest_serial, inner_gap_lengths, lowest_serial,
+)
 
 # Ordered measures look at one stretch of 2**18 serials at a time. After
 # de-duplication a stretch has at most that many rows, so no task ever sorts
@@ -105,11 +107,16 @@ def gap_runs(events: DataFrame, stretch_bits: int = STRETCH_BITS) -> DataFrame:
 def last_types_by_ordering(serials: DataFrame) -> DataFrame:
     """Sequences per pair of last types: the last by serial against the last by arrival.
 
-    Equal arrivals are decided by the serial.
+    Equal arrivals are decided by the serial. The events fold per (sequence, type)
+    to two plain numbers, which combine in a hash aggregate before the shuffle;
+    types are compared only between the few rows of a sequence that are left.
     """
-    last = serials.groupBy("sequence_id").agg(
-        F.max(F.struct("serial_id", "event_type")).alias("by_serial"),
-        F.max(F.struct("arrival", "serial_id", "event_type")).alias("by_arrival"),
+    types = serials.groupBy("sequence_id", "event_type").agg(
+        F.max("serial_id").alias("serial"), F.max(arrival_order("arrival", "serial_id")).alias("order")
+    )
+    last = types.groupBy("sequence_id").agg(
+        F.max(F.struct("serial", "event_type")).alias("by_serial"),
+        F.max(F.struct("order", "event_type")).alias("by_arrival"),
     )
     return (
         last.groupBy(
