@@ -15,7 +15,9 @@ from gapwatch.plans.session import use_utc
 from gapwatch.sinks import write_json
 from gapwatch.sources import feed
 
+# Fixed by the feed: files with a boolean field, and the file whose first event carries a size.
 BOOLEAN_FIELDS = (("box-create", "checkVisibility"), ("box-change", "visibility"), ("mouse-down", "activeElement"))
+SIZE_FILE, SIZE_FIELD = "page-change", "clientSize"
 
 
 def _tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
@@ -24,8 +26,11 @@ def _tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
 
 def file_measures(files: dict[str, DataFrame], until: ExitStack) -> dict[str, DataFrame]:
     """Measures of the raw files, which carry the payload fields."""
-    # A few rows, kept: row counts and absent fields come from one parse of each file.
-    fields = keep(_tagged_union({n: measures.null_profile(f, only_absent=False) for n, f in files.items()}, "file"), until)
+    # A few rows per file, kept: all counts of its fields come from one parse of it.
+    values = {name: {"value": F.col(field)} for name, field in BOOLEAN_FIELDS}
+    values[SIZE_FILE] = {"serial_0": F.col("serialId") == 0, "has_client_size": F.col(SIZE_FIELD).isNotNull()}
+    counts = {name: keep(measures.field_counts(frame, values.get(name)), until) for name, frame in files.items()}
+    fields = _tagged_union({name: measures.absent_fields(counts[name], frame.schema) for name, frame in files.items()}, "file")
     event_files = {name: frame for name, frame in files.items() if name != feed.REGISTRY_FILE}
     duplicates = {
         name: measures.duplicate_profile(
@@ -38,19 +43,13 @@ def file_measures(files: dict[str, DataFrame], until: ExitStack) -> dict[str, Da
         )
         for name, frame in event_files.items()
     }
-    booleans = {
-        f"{name}.{field}": measures.grouped_counts(files[name].select(F.col(field).alias("value")), "value")
-        for name, field in BOOLEAN_FIELDS
-    }
-    sizes = files["page-change"].select(
-        (F.col("serialId") == 0).alias("serial_0"), F.col("clientSize").isNotNull().alias("has_client_size")
-    )
+    booleans = {f"{name}.{field}": measures.value_counts(counts[name], "value") for name, field in BOOLEAN_FIELDS}
     return {
         "file_rows": fields.groupBy("file").agg(F.max("rows").alias("rows")),
         "absent_fields": fields.filter("absent > 0"),
         "duplicates_within_file": _tagged_union(duplicates, "file"),
         "boolean_values": _tagged_union(booleans, "field"),
-        "page_change_size_fields": measures.grouped_counts(sizes, "serial_0", "has_client_size"),
+        "page_change_size_fields": measures.value_counts(counts[SIZE_FILE], "serial_0", "has_client_size"),
     }
 
 

@@ -25,6 +25,24 @@ def test_null_profile_counts_nested_fields(spark):
     assert rows_of(measures.null_profile(full, only_absent=False)) == [("a", 1, 0), ("b", 1, 0)]
 
 
+def test_field_counts_hold_what_single_measures_count(spark):
+    rows = [(n, None if n % 5 == 0 else n % 3 == 0, None if n % 4 == 0 else (None if n % 7 == 0 else n * 1.0,)) for n in range(60)]
+    frame = spark.createDataFrame(rows, "a bigint, flag boolean, b struct<x: double>")
+    counts = measures.field_counts(frame, {"value": F.col("flag"), "small": F.col("a") < 9})
+    assert counts.count() <= 6
+    assert rows_of(measures.absent_fields(counts, frame.schema)) == [
+        ("a", 60, 0), ("flag", 60, 12), ("b.x", 60, sum(r[2] is None or r[2][0] is None for r in rows))]
+    assert rows_of(measures.value_counts(counts, "value")) == rows_of(measures.grouped_counts(frame.select(F.col("flag").alias("value")), "value"))
+    assert rows_of(measures.value_counts(counts, "small")) == [(False, 51), (True, 9)]
+
+
+def test_field_counts_of_nothing(spark):
+    frame = spark.createDataFrame([], "a bigint, flag boolean")
+    counts = measures.field_counts(frame, {"value": F.col("flag")})
+    assert rows_of(measures.absent_fields(counts, frame.schema)) == [("a", 0, 0), ("flag", 0, 0)]
+    assert rows_of(measures.value_counts(counts, "value")) == []
+
+
 def test_payload_json_leaves_nulls_out(spark):
     frame = spark.createDataFrame([(1, None), (None, "x")], "a bigint, b string")
     assert rows_of(frame.select(payload_json(["a", "b"]))) == [('{"a":1}',), ('{"b":"x"}',)]
