@@ -8,8 +8,9 @@
    so a group of n near copies gives about n pairs.
 3. A pair's overlap is counted in each fragment on its own, where the fragment's
    segments of the two sets meet, and summed per pair. That is exact.
-4. Groups whose other members still lie in different components are compared in blocks,
-   each fragment's overlap added until it decides the pair. No pairs but links leave a block.
+4. Groups whose other members still lie in different components are compared in blocks: by
+   bounds first, then, for rows that may still be linked, with each fragment's overlap added
+   until it decides the pair. No pairs but links leave a block.
 5. Before a pair is counted, its sizes and the parity of its n-grams by bucket
    bound its overlap from above; the bound loses no link.
 """
@@ -289,6 +290,37 @@ def _likely_rows(i: int, bits: list[np.ndarray], stacks: list, sizes: np.ndarray
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
+_BLOCK_KEYS = ("gram", "first_block", "second_block")
+_BLOCK_ROWS = "gram bigint, first_block int, second_block int, node bigint, component bigint, n bigint, bits binary, block int"
+
+
+def _still_open(percent: int):
+    """The rows of two blocks that sizes and parities allow a partner in another component; needs no texts."""
+
+    def still_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for rows in groups(batches, list(_BLOCK_KEYS)):
+            parts, sizes, block = (rows.column(c).to_numpy() for c in ("component", "n", "block"))
+            first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
+            bits = [np.frombuffer(b.as_buffer(), np.uint8) for b in rows.column("bits")]
+            near = _stacked(bits, np.flatnonzero(block == second))
+            keep = np.zeros(len(parts), dtype=bool)
+            for i in np.flatnonzero(block == first).tolist():
+                found = _likely_rows(i, bits, near, sizes, percent)
+                found = found[parts[found] != parts[i]]
+                keep[found] = True
+                keep[i] |= len(found) > 0
+            if keep.any():
+                held.append(rows.filter(pa.array(keep)))
+            if sum(t.num_rows for t in held) >= BLOCK:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held = []
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+    return still_open
+
+
 def _link_blocks(order: Order, percent: int):
     """Links that join components between two blocks of a group.
 
@@ -298,7 +330,7 @@ def _link_blocks(order: Order, percent: int):
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches, ["gram", "first_block", "second_block"]):
+        for rows in groups(batches, list(_BLOCK_KEYS)):
             nodes, parts, sizes, block = (rows.column(c).to_numpy() for c in ("node", "component", "n", "block"))
             parts = parts.copy()
             first, second = rows.column("first_block")[0].as_py(), rows.column("second_block")[0].as_py()
@@ -313,7 +345,7 @@ def _link_blocks(order: Order, percent: int):
                 if (parts[found] == parts[i]).all():
                     continue
                 if wide is None:
-                    # Most groups end above: their texts are not even read.
+                    # What ends above needs no texts.
                     wide = [parity(held.grams(k), WIDE) for k in range(len(nodes))]
                     wide_stacks = _stacked(wide, right)
                 for j in _likely_rows(i, wide, wide_stacks, sizes, percent).tolist():
@@ -357,11 +389,14 @@ def similar_groups(
     postings = nodes.select("node", F.explode("prefix").alias("gram"))
     shared = postings.groupBy("gram").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
     members = written(postings.join(shared, "gram"), "members")
-    wanted = members.select("node").distinct().join(nodes.select("node", "rep_id", "rep_hash"), "node")
-    texts = docs.mapInArrow(_pack_text, "doc_id bigint, text_hash bigint, packed_text binary")
-    candidates = written(texts.join(
-        wanted, texts.doc_id.eqNullSafe(wanted.rep_id) & (texts.text_hash == wanted.rep_hash)).dropDuplicates(["node"]).select(
-        "node", "packed_text"), "candidates")
+    # Plain keys for a null id, so that dropping repeated rows needs no shuffle of its own.
+    place = lambda id_, text_hash: (F.coalesce(id_, F.lit(0)).alias("id"), F.col(id_).isNull().alias("no_id"), F.col(text_hash).alias("text_hash"))
+    wanted = members.select("node").distinct().join(nodes.select("node", "rep_id", "rep_hash"), "node").select(
+        "node", *place("rep_id", "rep_hash"))
+    texts = docs.mapInArrow(_pack_text, "doc_id bigint, text_hash bigint, packed_text binary").select(
+        *place("doc_id", "text_hash"), "packed_text")
+    candidates = written(texts.join(wanted, ["id", "no_id", "text_hash"]).dropDuplicates(
+        ["id", "no_id", "text_hash", "node"]).select("node", "packed_text"), "candidates")
 
     about = nodes.select("node", "n", "bits")
     side = lambda name: about.select(*(F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in about.columns))
@@ -416,11 +451,20 @@ def similar_groups(
     blocks = rows.groupBy("gram").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     rows = rows.join(blocks, "gram").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(candidates, "node").select(
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "gram", F.least("block", "other").alias("first_block"), F.greatest("block", "other").alias("second_block"),
-        "node", "component", "n", "bits", "block", "packed_text")
-    keys = ("gram", "first_block", "second_block")
-    more = written(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        "node", "component", "n", "bits", "block")
+    # Only rows that may still be linked meet with their texts; of blocks with the same such rows one is enough.
+    by_block = lambda frame: frame.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
+    rows = written(by_block(rows).mapInArrow(_still_open(percent), _BLOCK_ROWS), "open")
+    sided = ("node", F.col("block") == F.col("first_block"), F.col("block") == F.col("second_block"))
+    once = rows.groupBy(*_BLOCK_KEYS).agg(
+        F.count("*").alias("count"), F.bit_xor(F.xxhash64(*sided)).alias("bag"),
+        F.sum(F.shiftright(F.xxhash64(*sided, F.lit(1)), 24)).alias("sum"),
+    ).groupBy("count", "bag", "sum").agg(F.min(F.struct(*_BLOCK_KEYS)).alias("at")).select("at.*")
+    rows = rows.join(once, list(_BLOCK_KEYS))
+    texts = candidates.join(rows.select("node").distinct(), "node")
+    more = written(by_block(rows.join(texts, "node")).mapInArrow(
         _link_blocks(order, percent), "u bigint, v bigint").distinct(), "links")
     labels = labelled(links.unionByName(more))
 
