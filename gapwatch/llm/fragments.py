@@ -463,7 +463,9 @@ def similar_groups(
         F.sum(F.shiftright(F.xxhash64(*sided, F.lit(1)), 24)).alias("sum"),
     ).groupBy("count", "bag", "sum").agg(F.min(F.struct(*_BLOCK_KEYS)).alias("at")).select("at.*")
     rows = rows.join(once, list(_BLOCK_KEYS))
-    texts = candidates.join(rows.select("node").distinct(), "node")
+    # Written, so that Spark knows their size before it chooses how to fetch the texts.
+    needed = written(rows.select("node").distinct(), "needed")
+    texts = candidates.join(needed, "node")
     more = written(by_block(rows.join(texts, "node")).mapInArrow(
         _link_blocks(order, percent), "u bigint, v bigint").distinct(), "links")
     labels = labelled(links.unionByName(more))
