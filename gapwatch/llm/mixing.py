@@ -4,21 +4,24 @@ A text is its tokens: words (A-Z lower-cased, cut at white space), then one
 end. A word is its bytes and a space, the end a sign of its own; each byte is a
 path of bits in a fixed binary code that is short for frequent bytes.
 
-* Predictors: for each context within the word (the last 1, 2, 3, 4 bytes, all
-  bytes so far) a hashed table counts which symbol followed, over all training
-  texts. A bit's prediction is the log odds of a one among the symbols that its
-  place in the code leaves possible.
+* Predictors: for each context (the last 1, 2, 3, 4 symbols, which reach into the
+  word before; all bytes of the word so far; these and the whole word before) a
+  hashed table counts which symbol followed, over all training texts. A bit's
+  prediction is the log odds of a one among the symbols that its place in the
+  code leaves possible.
 * Mixing: predictions are summed in the logistic domain with weights learned
-  online, bit by bit. Two mixers are gated differently: by the place in the
-  code, and by how often the longest contexts were met.
+  online, a step at a time, each bit predicted from all counts but its own. Two mixers are gated
+  differently: by the place in the code, and by how often the longest contexts
+  were met.
 * Refinement: a word's probability by its bits is blended with that by its count
   in the training texts (which gives an unseen word nothing but a share of its
   spelling by the bits) and, along a text, with how often the text has used it so
   far. Each mixer, share and strength is one blend; a text weights the blends by
   how well they have predicted it up to there (Bayes).
 
-The score is the log probability of the token sequence, so blocks of texts need
-the bits of each distinct word once. All texts count; tables have a fixed number
+The score is the log probability of the token sequence. No context reaches further
+back than the word before, so blocks of texts need the bits of each distinct
+pair of neighbours once. All texts count; tables have a fixed number
 of slots, so the model that is broadcast has a fixed bound.
 
 Counts of whole words for the base score are summed by hash ranges, whose number
@@ -30,6 +33,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +49,12 @@ from gapwatch.llm.shingles import lowered, mixed, word_spans
 _COMMON = b" etaoinshrdlucmfwgypbvk,.jxqz\xc3\xa9-'\"0123456789!?:;()"
 END, SYMBOLS = 94, 96
 ESCAPE = SYMBOLS - 1
-#: Bits of the slots of each context: 1, 2, 3, 4 bytes, all bytes of the word so far.
-SLOT_BITS = (7, 13, 14, 14, 15)
+#: Bits of the slots of each context: 1, 2, 3, 4 symbols, all bytes of the word so far, these and the word before.
+SLOT_BITS = (7, 13, 14, 15, 15, 16)
 CONTEXTS = len(SLOT_BITS)
+LAST = CONTEXTS - 2
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+PRIOR = 0.15
 RANGE_BITS = 10
 LEVELS = 6
 #: Strengths (in tokens) of what the model says against what the text has used; the last one ignores the text.
@@ -57,9 +64,8 @@ WORD_SHARES = (0.6, 0.96)
 BLOCK_TOKENS = 500_000
 BLOCK_DOCS = 50_000
 TOKENS_A_RANGE = 5_000_000
-#: Parts of a block's training tokens that are learned from in turn, and tokens whose equal words are learned from at once.
-FOLDS = 4
-RUN_TOKENS = 32_768
+#: Words whose contexts are made at once.
+UNITS = 2000
 EVEN = 0.3
 END_HASH = np.uint64(0x0E4D0E4D0E4D0E4D)
 
@@ -68,8 +74,9 @@ END_HASH = np.uint64(0x0E4D0E4D0E4D0E4D)
 class Code:
     symbol_of: np.ndarray
     length: np.ndarray
-    node: np.ndarray
-    bit: np.ndarray
+    first: np.ndarray
+    nodes: np.ndarray
+    bits: np.ndarray
     under: np.ndarray
 
 
@@ -80,8 +87,8 @@ def _code() -> Code:
     order = order[:END]
     symbol_of = np.full(256, ESCAPE, dtype=np.uint8)
     symbol_of[order] = np.arange(len(order))
-    weight = [1 / (i + 3) for i in range(SYMBOLS)]
-    weight[END] = 1 / 200
+    weight = [1 / (i + 8) ** 2 for i in range(SYMBOLS)]
+    weight[END] = weight[40]
     heap = [(w, i, i) for i, w in enumerate(weight)]
     heapq.heapify(heap)
     children: list[tuple[int, int]] = []
@@ -97,13 +104,15 @@ def _code() -> Code:
             paths[node] = path
         else:
             waiting += [(child, [*path, (node - SYMBOLS, bit)]) for bit, child in enumerate(children[node - SYMBOLS])]
-    depth = max(map(len, paths.values()))
-    node, bit = np.zeros((SYMBOLS, depth), np.int64), np.zeros((SYMBOLS, depth), np.int64)
+    nodes, bits = [], []
     under = np.zeros((2, SYMBOLS, SYMBOLS - 1), dtype=np.float32)
-    for s, path in paths.items():
-        for step, (at, b) in enumerate(path):
-            node[s, step], bit[s, step], under[b, s, at] = at, b, 1
-    return Code(symbol_of, np.array([len(paths[s]) for s in range(SYMBOLS)]), node, bit, under)
+    for s in range(SYMBOLS):
+        for at, b in paths[s]:
+            nodes.append(at)
+            bits.append(b)
+            under[b, s, at] = 1
+    length = np.array([len(paths[s]) for s in range(SYMBOLS)])
+    return Code(symbol_of, length, np.cumsum(length) - length, np.array(nodes), np.array(bits, dtype=np.float32), under)
 
 
 CODE = _code()
@@ -121,36 +130,78 @@ def symbols_of(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     return out, sizes
 
 
-def context_slots(symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    n = len(symbols)
-    firsts = np.cumsum(sizes) - sizes
-    age = np.arange(n) - np.repeat(firsts, sizes)
-    so_far = np.zeros(n, dtype=np.uint64)
-    out, held = [], symbols.astype(np.uint64) + np.uint64(1)
-    for k in range(1, 5):
-        shifted = np.zeros(n, dtype=np.uint64)
-        shifted[k:] = held[:-k]
-        shifted[age < k] = 0
-        so_far = so_far | shifted << np.uint64(7 * (k - 1))
-        out.append(so_far)
-    # All bytes so far: a hash that is carried along the word, one step for all words at a time.
-    whole = np.zeros(n, dtype=np.uint64)
-    live = firsts[sizes > 1]
-    left = sizes[sizes > 1] - 1
-    carry = np.full(len(live), 7, dtype=np.uint64)
-    at = 0
-    whole[firsts] = 7
-    while len(live):
-        carry = mixed(carry * np.uint64(31) + held[live + at])
-        at += 1
-        whole[live + at] = carry
-        more = left > at
-        live, left, carry = live[more], left[more], carry[more]
-    out.append(whole)
-    slots = [out[0].astype(np.int64)]
-    for k in range(1, CONTEXTS):
-        slots.append((mixed(out[k] + np.uint64(k << 56)) >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64))
-    return slots
+class Spelled:
+    """Distinct words as symbols, with what the contexts take from a word: its symbols so far, its end, its hash."""
+
+    def __init__(self, words: np.ndarray, lengths: np.ndarray):
+        self.symbols, self.sizes = symbols_of(words, lengths)
+        n = len(self.symbols)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.age = np.arange(n) - np.repeat(self.firsts, self.sizes)
+        held = self.symbols.astype(np.uint64) + np.uint64(1)
+        self.last = np.zeros(n, dtype=np.uint64)
+        ends = self.firsts + self.sizes - 1
+        self.ending = np.zeros(len(self.sizes), dtype=np.uint64)
+        for k in range(LAST):
+            shifted = np.zeros(n, dtype=np.uint64)
+            shifted[k + 1:] = held[:-k - 1]
+            shifted[self.age <= k] = 0
+            self.last |= shifted << np.uint64(7 * k)
+            self.ending |= np.where(self.sizes > k, held[np.maximum(ends - k, 0)], 0).astype(np.uint64) << np.uint64(7 * k)
+        # All bytes so far: a hash that is carried along the word, one step for all words at a time.
+        self.whole = np.zeros(n, dtype=np.uint64)
+        self.whole[self.firsts] = 7
+        live, left = self.firsts[self.sizes > 1], self.sizes[self.sizes > 1] - 1
+        carry, at = np.full(len(live), 7, dtype=np.uint64), 0
+        while len(live):
+            carry = mixed(carry * np.uint64(31) + held[live + at])
+            at += 1
+            self.whole[live + at] = carry
+            more = left > at
+            live, left, carry = live[more], left[more], carry[more]
+        self.hash = self.whole[ends]
+
+
+def pairs_of(index: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+    """For each token its word and the word before it in its text (0: none, else 1 and more), as one number.
+
+    Sorted, pairs of one word stand together, so the slots that they share are still in the cache.
+    """
+    before = np.concatenate(([-1], index[:-1])).astype(np.int64)[: len(index)]
+    before[(np.cumsum(per_text) - per_text)[per_text > 0]] = -1
+    return index.astype(np.int64) << 32 | before + 1
+
+
+def _unpaired(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pairs >> 32, (pairs & 0xFFFFFFFF) - 1
+
+
+def context_slots(words: Spelled, own: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Symbols of the words ``own``, their number per word, and each symbol's slot in each context.
+
+    The contexts go on into the words ``before`` (-1: a text starts here): the last 1 to 4 symbols, the bytes of
+    the word so far, and these together with the whole word before.
+    """
+    sizes = words.sizes[own]
+    at = np.arange(int(sizes.sum())) + np.repeat(words.firsts[own] - (np.cumsum(sizes) - sizes), sizes)
+    none = before < 0
+    ending = np.where(none, np.uint64(0), words.ending[before])
+    whole_before = np.where(none, np.uint64(0), words.hash[before])
+    reach = np.minimum(words.age.take(at), LAST).astype(np.uint64) * np.uint64(7)
+    last = words.last.take(at) | np.repeat(ending, sizes) << reach
+    slots = [(last & np.uint64(127)).astype(np.int64)]
+    for k in range(2, LAST + 1):
+        slots.append((last & np.uint64((1 << 7 * k) - 1), SLOT_BITS[k - 1]))
+    whole = words.whole.take(at)
+    slots.append((whole, SLOT_BITS[LAST]))
+    slots.append((whole ^ np.repeat(whole_before * SPREAD, sizes), SLOT_BITS[LAST + 1]))
+    slots[1:] = [(((context + np.uint64(1)) * SPREAD) >> np.uint64(64 - bits)).astype(np.int64) for context, bits in slots[1:]]
+    return words.symbols.take(at), sizes, slots
+
+
+def _alone(words: np.ndarray, lengths: np.ndarray) -> tuple[Spelled, np.ndarray, np.ndarray]:
+    """Words that each start a text."""
+    return Spelled(words, lengths), np.arange(len(lengths)), np.full(len(lengths), -1)
 
 
 class Counts:
@@ -159,42 +210,107 @@ class Counts:
     def __init__(self):
         self.tables = [np.zeros((1 << b) * SYMBOLS, dtype=np.int64) for b in SLOT_BITS]
 
-    def add(self, words: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> None:
-        symbols, sizes = symbols_of(words, lengths)
-        times = np.repeat(counts, sizes)
-        for table, slots in zip(self.tables, context_slots(symbols, sizes)):
-            table += np.bincount(slots * SYMBOLS + symbols, weights=times, minlength=len(table)).astype(np.int64)
-
-
-def _bits(symbols: np.ndarray, slots: list[np.ndarray], model: Model) -> tuple[np.ndarray, ...]:
-    """Per bit: its row among the symbols, its node, its value, the inputs, and the gate of familiarity."""
-    steps = CODE.length[symbols]
-    row = np.repeat(np.arange(len(symbols)), steps)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(steps) - steps, steps)
-    node, bit = CODE.node[symbols[row], step], CODE.bit[symbols[row], step]
-    inputs = np.stack([t.reshape(-1)[s[row] * (SYMBOLS - 1) + node] for t, s in zip(model.odds, slots)])
-    gate = (model.levels[0][slots[-2]] * LEVELS + model.levels[1][slots[-1]])[row]
-    return row, node, bit, inputs, gate
+    def add(self, words: np.ndarray, lengths: np.ndarray, counts: np.ndarray, pairs: np.ndarray | None = None) -> None:
+        """Words (each at the start of a text), or ``pairs`` of them, each met ``counts`` times."""
+        spelled, own, before = _alone(words, lengths)
+        if pairs is not None:
+            own, before = _unpaired(pairs)
+        for at in range(0, len(own), UNITS):
+            part = slice(at, at + UNITS)
+            symbols, sizes, slots = context_slots(spelled, own[part], before[part])
+            times = np.repeat(counts[part], sizes)
+            for table, slot in zip(self.tables, slots):
+                np.add.at(table, slot * SYMBOLS + symbols, times)
 
 
 @dataclass
 class Model:
-    """``odds``: per context, slot x node; ``levels``: familiarity of the two longest contexts; the mixers' weights."""
+    """``odds``: per context, slot x node; ``levels``: familiarity of the two longest contexts; the mixers' weights.
+
+    With ``left_out``, odds are per slot x node x value of the bit, from the counts without that bit itself.
+    """
 
     odds: list[np.ndarray]
     levels: list[np.ndarray]
     by_node: np.ndarray
     by_gate: np.ndarray
+    left_out: bool = False
+
+
+def _levels(tables: list[np.ndarray], left_out: int) -> list[np.ndarray]:
+    many = [np.maximum(t.reshape(-1, SYMBOLS).sum(axis=1) - left_out, 0) for t in tables[-2:]]
+    return [np.minimum(LEVELS - 1, np.log2(n + 1) / 2.5).astype(np.int64) for n in many]
+
+
+def _even() -> tuple[np.ndarray, np.ndarray]:
+    even = np.full(CONTEXTS, EVEN)
+    return np.tile(even, (SYMBOLS - 1, 1)), np.tile(even, (LEVELS * LEVELS, 1))
 
 
 def untrained(tables: list[np.ndarray]) -> Model:
-    odds, levels = [], []
+    odds = []
     for table in tables:
         counts = table.reshape(-1, SYMBOLS).astype(np.float32)
-        odds.append(np.log((counts @ CODE.under[1] + 0.15) / (counts @ CODE.under[0] + 0.15)).astype(np.float32))
-        levels.append(np.minimum(LEVELS - 1, np.log2(counts.sum(axis=1) + 1) / 2.5).astype(np.int64))
-    even = np.full(CONTEXTS, EVEN)
-    return Model(odds, levels[-2:], np.tile(even, (SYMBOLS - 1, 1)), np.tile(even, (LEVELS * LEVELS, 1)))
+        odds.append(np.log((counts @ CODE.under[1] + PRIOR) / (counts @ CODE.under[0] + PRIOR)).astype(np.float32).reshape(-1))
+    return Model(odds, _levels(tables, 0), *_even())
+
+
+def learner(tables: list[np.ndarray]) -> Model:
+    """A model that predicts each bit from the counts of all texts but that bit itself."""
+    odds = []
+    for table in tables:
+        counts = table.reshape(-1, SYMBOLS).astype(np.float32)
+        zeros, ones = counts @ CODE.under[0], counts @ CODE.under[1]
+        both = np.empty((*zeros.shape, 2), dtype=np.float32)
+        both[..., 0] = np.log((ones + PRIOR) / (np.maximum(zeros - 1, 0) + PRIOR))
+        both[..., 1] = np.log((np.maximum(ones - 1, 0) + PRIOR) / (zeros + PRIOR))
+        odds.append(both.reshape(-1))
+    return Model(odds, _levels(tables, 1), *_even(), left_out=True)
+
+
+@dataclass
+class Tables:
+    """Summed counts as they are sent to the workers, each of which makes its models once."""
+
+    pressed: list[bytes]
+
+    def counts(self) -> list[np.ndarray]:
+        return [_unpressed(t, np.float32) for t in self.pressed]
+
+    @cached_property
+    def learner(self) -> Model:
+        return learner(self.counts())
+
+    @cached_property
+    def untrained(self) -> Model:
+        self.__dict__.pop("learner", None)  # one of them is held at a time
+        return untrained(self.counts())
+
+
+def tables_of(counts: Counts) -> Tables:
+    # single precision, as only their logarithms count
+    return Tables([_pressed(t.astype(np.float32)) for t in counts.tables])
+
+
+def _bits(symbols: np.ndarray, slots: list[np.ndarray], model: Model) -> tuple[np.ndarray, ...]:
+    """Per bit: its row among the symbols, its node, its value, the inputs, and the gate of familiarity."""
+    steps = CODE.length.take(symbols)
+    row = np.repeat(np.arange(len(symbols)), steps)
+    place = np.arange(len(row)) + np.repeat(CODE.first.take(symbols) - (np.cumsum(steps) - steps), steps)
+    node, bit = CODE.nodes.take(place), CODE.bits.take(place)
+    inputs = np.empty((CONTEXTS, len(row)), dtype=np.float32)
+    width, within = (2 * (SYMBOLS - 1), 2 * node + bit.astype(np.int64)) if model.left_out else (SYMBOLS - 1, node)
+    for own, odds, slot in zip(inputs, model.odds, slots):
+        odds.take((slot * width).take(row) + within, out=own, mode="clip")
+    gate = (model.levels[0].take(slots[-2]) * LEVELS + model.levels[1].take(slots[-1])).take(row)
+    return row, node, bit, inputs, gate
+
+
+def _logit(weights: np.ndarray, index: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(index), dtype=np.float32)
+    for own, x in zip(np.ascontiguousarray(weights.T, dtype=np.float32), inputs):
+        total += own.take(index) * x
+    return np.clip(total, -20, 20, out=total)
 
 
 @dataclass
@@ -210,71 +326,77 @@ def nothing_seen() -> Seen:
     return Seen(np.zeros(SYMBOLS - 1), np.zeros(LEVELS * LEVELS))
 
 
+def _learn(model: Model, symbols: np.ndarray, slots: list[np.ndarray], times: np.ndarray, seen: Seen, rate: float) -> None:
+    """One step: the bits of the symbols are predicted, then learned from."""
+    row, node, bit, inputs, gate = _bits(symbols, slots, model)
+    weight = times.take(row)
+    pace = rate / (1 + seen.steps / 200)
+    seen.steps += 1
+    for weights, index, known in ((model.by_node, node, seen.by_node), (model.by_gate, gate, seen.by_gate)):
+        p = 1 / (1 + np.exp(-_logit(weights, index, inputs)))
+        many = np.bincount(index, weights=weight, minlength=len(weights))
+        error = (bit - p) * weight
+        change = np.stack([np.bincount(index, weights=error * x, minlength=len(weights)) for x in inputs], axis=1)
+        # a step as by the root of the bits, but no longer than that of 400 bits
+        weights += pace * change / np.maximum(np.sqrt(np.maximum(many, 1)), many / 20)[:, None]
+        known += many
+
+
 def learn_online(
     model: Model, words: np.ndarray, lengths: np.ndarray, times: np.ndarray | None = None, seen: Seen | None = None,
-    rate: float = 0.02, step: int = 1024,
+    rate: float = 0.02, step: int = 1000, pairs: np.ndarray | None = None,
 ) -> None:
-    """The mixers' weights from a run of words, each ``times`` met; the bits of ``step`` symbols are predicted, then learned from."""
+    """The mixers' weights from words (each at the start of a text) or ``pairs`` of them, each ``times`` met, ``step`` at a time."""
     seen = seen or nothing_seen()
-    symbols, sizes = symbols_of(words, lengths)
-    slots = context_slots(symbols, sizes)
-    times = np.repeat(np.ones(len(lengths)) if times is None else times.astype(float), sizes)
-    for at in range(0, len(symbols), step):
-        part = slice(at, at + step)
-        row, node, bit, inputs, gate = _bits(symbols[part], [s[part] for s in slots], model)
-        weight = times[part][row]
-        pace = rate / (1 + seen.steps / 200)
-        seen.steps += 1
-        for weights, index, known in ((model.by_node, node, seen.by_node), (model.by_gate, gate, seen.by_gate)):
-            p = 1 / (1 + np.exp(-np.clip(np.einsum("bk,kb->b", weights[index], inputs), -20, 20)))
-            many = np.bincount(index, weights=weight, minlength=len(weights))
-            error = (bit - p) * weight
-            change = np.stack([np.bincount(index, weights=error * x, minlength=len(weights)) for x in inputs], axis=1)
-            # a step as by the root of the bits, but no longer than that of 400 bits
-            weights += pace * change / np.maximum(np.sqrt(np.maximum(many, 1)), many / 20)[:, None]
-            known += many
-
-
-def learn_block(tables: list[np.ndarray], words: np.ndarray, lengths: np.ndarray, tokens: np.ndarray) -> tuple[Model, Seen] | None:
-    """Weights learned from all ``tokens`` (places among the words), in folds whose own counts the tables lack."""
-    starts = np.cumsum(lengths) - lengths
-    model, seen = None, nothing_seen()
-
-    def bytes_of(own: np.ndarray) -> np.ndarray:
-        size = lengths[own]
-        return words[np.arange(int(size.sum())) + np.repeat(starts[own] - (np.cumsum(size) - size), size)]
-
-    for fold in np.array_split(tokens, FOLDS):
-        if not len(fold):
-            continue
-        own, times = np.unique(fold, return_counts=True)
-        lacking = Counts()
-        lacking.add(bytes_of(own), lengths[own], times)
-        fresh = untrained([t - o for t, o in zip(tables, lacking.tables)])
-        if model is not None:
-            fresh.by_node, fresh.by_gate = model.by_node, model.by_gate
-        model = fresh
-        for at in range(0, len(fold), RUN_TOKENS):
-            own, times = np.unique(fold[at: at + RUN_TOKENS], return_counts=True)
-            learn_online(model, bytes_of(own), lengths[own], times, seen)
-    return model and (model, seen)
-
-
-def word_scores(model: Model, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Natural log probability of each word for each mixer: by node, by gate, both averaged."""
-    out = np.zeros((len(lengths), 3))
-    ends = np.cumsum(lengths)
-    for at in range(0, len(lengths), 20_000):
-        size = lengths[at: at + 20_000]
-        symbols, sizes = symbols_of(words[ends[at] - lengths[at]: ends[at] - lengths[at] + size.sum()], size)
-        row, node, bit, inputs, gate = _bits(symbols, context_slots(symbols, sizes), model)
-        one = np.einsum("bk,kb->b", model.by_node[node], inputs)
-        two = np.einsum("bk,kb->b", model.by_gate[gate], inputs)
-        sign = 1.0 - 2.0 * bit
-        first_bit = np.concatenate(([0], np.cumsum(CODE.length[symbols])[:-1]))[np.cumsum(sizes) - sizes]
-        escapes = np.add.reduceat((symbols == ESCAPE).astype(float), np.cumsum(sizes) - sizes) * np.log(1 / 256)
+    spelled, own, before = _alone(words, lengths)
+    if pairs is not None:
+        own, before = _unpaired(pairs)
+    times = np.ones(len(own)) if times is None else times.astype(float)
+    for at in range(0, len(own), UNITS):
+        symbols, sizes, slots = context_slots(spelled, own[at: at + UNITS], before[at: at + UNITS])
+        weight, ends = np.repeat(times[at: at + UNITS], sizes), np.concatenate(([0], np.cumsum(sizes)))[::step]
+        for part in map(slice, ends, [*ends[1:], len(symbols)]):
+            if part.start < part.stop:
+                _learn(model, symbols[part], [s[part] for s in slots], weight[part], seen, rate)
+
+
+def learn_block(
+    tables: list[np.ndarray] | Tables, words: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, pairs: np.ndarray | None = None,
+) -> tuple[Model, Seen] | None:
+    """Weights learned from all ``tokens`` (places among the words) or their ``pairs``, each bit without its own count.
+
+    Equal pairs are learned from at once with their number, in the order in which they are first met.
+    """
+    if pairs is None:
+        pairs = pairs_of(tokens, np.ones(len(tokens), dtype=np.int64))
+    if not len(pairs):
+        return None
+    model, seen = tables.learner if isinstance(tables, Tables) else learner(tables), nothing_seen()
+    model.by_node, model.by_gate = _even()
+    pairs, first, times = np.unique(pairs, return_index=True, return_counts=True)
+    order = np.argsort(first)
+    learn_online(model, words, lengths, times[order], seen, pairs=pairs[order])
+    return model, seen
+
+
+def word_scores(model: Model, words: np.ndarray, lengths: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Natural log probability of each word (at the start of a text), or pair, for each mixer: by node, by gate, both averaged."""
+    spelled, owns, befores = _alone(words, lengths)
+    if pairs is not None:
+        owns, befores = _unpaired(pairs)
+    out = np.zeros((len(owns), 3))
+    for at in range(0, len(owns), UNITS):
+        own = owns[at: at + UNITS]
+        symbols, sizes, slots = context_slots(spelled, own, befores[at: at + UNITS])
+        row, node, bit, inputs, gate = _bits(symbols, slots, model)
+        one, two = _logit(model.by_node, node, inputs), _logit(model.by_gate, gate, inputs)
+        sign = 1 - 2 * bit
+        firsts = np.cumsum(sizes) - sizes
+        first_bit = np.concatenate(([0], np.cumsum(CODE.length.take(symbols))[:-1]))[firsts]
+        escapes = np.add.reduceat((symbols == ESCAPE).astype(float), firsts) * np.log(1 / 256)
         for k, logit in enumerate((one, two, (one + two) / 2)):
-            out[at: at + len(size), k] = np.add.reduceat(-np.logaddexp(0, sign * np.clip(logit, -20, 20)), first_bit) + escapes
+            cost = np.log(1 + np.exp(sign * logit))
+            out[at: at + len(own), k] = escapes - np.add.reduceat(cost, first_bit, dtype=np.float64)
     return out
 
 
@@ -343,8 +465,7 @@ def _gather(parts: int):
         size = lengths[first]
         shift = np.repeat(starts[first] - (np.cumsum(size) - size), size)
         words = raw[np.arange(int(size.sum())) + shift]
-        known = count > 0
-        counts.add(words[np.repeat(known, size)], size[known], count[known])
+        counts.add(words, size, *np.unique(pairs_of(index, per_doc)[trained], return_counts=True)[::-1])
         yield _row("texts", block, a=_pressed(np.array((rows, trains), dtype=np.int64)), b=_pressed(per_doc.astype(np.int64)),
                    c=_pressed(index.astype(np.uint32)), d=_pressed(np.concatenate((size.astype(np.uint32).view(np.uint8), words))))
         bounds = np.searchsorted(distinct, (np.arange(1, parts, dtype=object) * (1 << 64) // parts).astype(np.uint64))
@@ -421,12 +542,13 @@ def _learn_blocks(shared):
         for batch in batches:
             for a, b, c, d in zip(*(batch.column(x) for x in "abcd")):
                 per_doc = _unpressed(b.as_py(), np.int64)
-                trained = _unpressed(a.as_py(), np.int64)[len(per_doc):] > 0
-                tokens = _unpressed(c.as_py(), np.uint32)[np.repeat(trained, per_doc)]
+                trained = np.repeat(_unpressed(a.as_py(), np.int64)[len(per_doc):] > 0, per_doc)
+                index = _unpressed(c.as_py(), np.uint32).astype(np.int64)
                 packed = _unpressed(d.as_py(), np.uint8)
-                many = int(_unpressed(c.as_py(), np.uint32).max()) + 1  # each word of a block is used in it
+                many = int(index.max()) + 1  # each word of a block is used in it
                 lengths = packed[: 4 * many].view(np.uint32).astype(np.int64)
-                found = learn_block(shared.value, packed[4 * many:], lengths, tokens)
+                pairs = pairs_of(index, per_doc)[trained]
+                found = learn_block(shared.value, packed[4 * many:], lengths, index[trained], pairs)
                 if found is None:
                     continue
                 weights = np.vstack((found[0].by_node, found[0].by_gate))
@@ -437,9 +559,8 @@ def _learn_blocks(shared):
     return run
 
 
-def learned_weights(texts: DataFrame, tables: list[np.ndarray]) -> np.ndarray:
+def learned_weights(texts: DataFrame, shared) -> np.ndarray:
     """Node and gate weights: the blocks' own, averaged by the bits that each was learned from."""
-    shared = texts.sparkSession.sparkContext.broadcast(tables)  # a fixed number of slots
     rows = texts.mapInArrow(_learn_blocks(shared), "place bigint, context bigint, n double, total double")
     # decimals, so that the sums do not depend on the order of rows
     rows = rows.groupBy("place", "context").agg(
@@ -450,13 +571,14 @@ def learned_weights(texts: DataFrame, tables: list[np.ndarray]) -> np.ndarray:
     return weights
 
 
-def _score_blocks(shared, train_tokens: int, vocabulary: int):
+def _score_blocks(shared, weights: np.ndarray, train_tokens: int, vocabulary: int):
     schema = pa.schema([
         ("key", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
         ("bits_score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.value.untrained
+        model.by_node, model.by_gate = np.split(weights, [SYMBOLS - 1])
         for rows in groups(batches, ["block"]):
             kinds = rows.column("kind").to_pylist()
             at = kinds.index("texts")
@@ -468,19 +590,20 @@ def _score_blocks(shared, train_tokens: int, vocabulary: int):
             count = np.concatenate([_unpressed(a, np.int64) for _, a in answers])
             packed = _unpressed(rows.column("d")[at].as_py(), np.uint8)
             lengths = packed[: 4 * len(count)].view(np.uint32).astype(np.int64)
-            bits = word_scores(model, packed[4 * len(count):], lengths)
-            scores = blends(bits, count, train_tokens, vocabulary)
+            pairs, of = np.unique(pairs_of(index, per_doc), return_inverse=True)
+            bits = word_scores(model, packed[4 * len(count):], lengths, pairs)
+            scores = blends(bits, count[_unpaired(pairs)[0]], train_tokens, vocabulary)
             base = np.log10((count + 0.1) / (train_tokens + 0.1 * (vocabulary + 1)))
             ends = np.cumsum(per_doc)
             out: dict[str, list] = {f.name: [] for f in schema}
             for key, end, n in zip(keys.tolist(), ends.tolist(), per_doc.tolist()):
-                own = index[end - n: end]
+                own, pair = index[end - n: end], of[end - n: end]
                 order = np.argsort(own, kind="stable")
                 new = np.concatenate(([True], own[order][1:] != own[order][:-1]))
                 used = np.empty(n)
                 used[order] = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
                 values = (
-                    key, n, int((count[own] > 0).sum()), float(base[own].sum()), text_score(scores[own], used), mixed_score(bits[own]))
+                    key, n, int((count[own] > 0).sum()), float(base[own].sum()), text_score(scores[pair], used), mixed_score(bits[pair]))
                 for name, value in zip(out, values):
                     out[name].append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
@@ -522,9 +645,8 @@ def score_texts(
         own = _unpressed(bytes(r["a"]), np.int64)
         width = min(len(counts.tables[r["block"]]), SYMBOLS << RANGE_BITS)
         counts.tables[r["block"]][r["part"] * width: (r["part"] + 1) * width] = own
-    model = untrained(counts.tables)
-    model.by_node, model.by_gate = np.split(learned_weights(gathered.filter("kind = 'texts'"), counts.tables), [SYMBOLS - 1])
-    shared = spark.sparkContext.broadcast(model)  # a fixed number of slots
+    shared = spark.sparkContext.broadcast(tables_of(counts))  # a fixed number of slots
+    weights = learned_weights(gathered.filter("kind = 'texts'"), shared)
 
     words = gathered.filter("kind = 'words'").repartitionByRange(max(1, parts), "part").sortWithinPartitions("part")
     answers = written(words.mapInArrow(_answer, _ROW), "mixing-answers")
@@ -532,7 +654,7 @@ def score_texts(
     total = sum((_unpressed(bytes(r["a"]), np.int64) for r in totals), np.zeros(2, dtype=np.int64))
     blocks = gathered.filter("kind = 'texts'").union(answers.filter("kind = 'answers'"))
     scored = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(
-        _score_blocks(shared, int(total[0]), int(total[1])),
+        _score_blocks(shared, weights, int(total[0]), int(total[1])),
         "key bigint, n_tokens bigint, n_known bigint, base_score double, score double, bits_score double")
     scored = scored.dropDuplicates(["key"])
     return docs.select("doc_id", "key", (~F.col("train")).alias("held_out")).join(scored, "key").select(

@@ -220,3 +220,31 @@ def test_language_backoff():
 ])
 def test_rendering(html, text):
     assert rendered(html) == text
+
+
+def test_contexts_reach_into_the_word_before():
+    words, lengths = np.frombuffer(b"ofthetorun", np.uint8), np.array([2, 3, 2, 3, 0])
+    index, per_text = np.array([0, 1, 4, 2, 3, 4] * 50), np.full(100, 3)
+    pairs = mixing.pairs_of(index, per_text)
+    own, before = mixing._unpaired(pairs)
+    assert own.tolist() == index.tolist() and before.tolist() == [-1, 0, 1, -1, 2, 3] * 50
+    spelled = mixing.Spelled(words, lengths)
+    # "e" of "the" after "of", after "to", and in a word of its own
+    slots = np.array([[s[2] for s in mixing.context_slots(spelled, np.array([1]), np.array([b]))[2]] for b in (0, 2, -1)])
+    assert [len(set(column)) for column in slots.T] == [1, 1, 2, 3, 1, 3]
+    counts = mixing.Counts()
+    counts.add(words, lengths, *np.unique(pairs, return_counts=True)[::-1])
+    model, _ = mixing.learn_block(counts.tables, words, lengths, index, pairs)
+    learned = mixing.untrained(counts.tables)
+    learned.by_node, learned.by_gate = model.by_node, model.by_gate
+    met, unmet = mixing.word_scores(learned, words, lengths, mixing.pairs_of(np.array([0, 1, 2, 1]), np.array([2, 2])))[[1, 3]]
+    assert (met > unmet + 1).all()
+
+
+def test_each_bit_is_predicted_without_its_own_count():
+    words, lengths = np.frombuffer(b"q", np.uint8), np.array([1])
+    counts = mixing.Counts()
+    counts.add(words, lengths, np.array([1]))
+    symbols, _, slots = mixing.context_slots(mixing.Spelled(words, lengths), np.array([0]), np.array([-1]))
+    assert not mixing._bits(symbols, slots, mixing.learner(counts.tables))[3].any()
+    assert (mixing._bits(symbols, slots, mixing.untrained(counts.tables))[3] != 0).all()

@@ -132,6 +132,13 @@ def test_scores_count_words_exactly(docs, nothing):
     assert mixing.score_texts(nothing, F.lit(False)).count() == 0
 
 
+def test_the_bits_of_a_word_depend_on_the_word_before(spark):
+    rows = [(i, "of the to run" if i % 2 else "to run of the") for i in range(60)] + [(60, "of the"), (61, "the of")]
+    scored = mixing.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string"), F.col("doc_id") >= 60)
+    usual, turned = (r["bits_score"] for r in scored.filter("doc_id >= 60").orderBy("doc_id").collect())
+    assert usual > turned + 1
+
+
 def test_mixing_weights_come_from_all_training_texts(docs, nothing, monkeypatch):
     given = []
     learn = mixing.learned_weights
