@@ -237,9 +237,9 @@ def _monitoring() -> dict[str, Query]:
 
     return {
         "boundary_completeness": lambda s, d: windows.boundary_completeness(
-            windows.window_blocks(_CLICKS.events(s, d), "1 day"), "1 day"),
+            windows.window_blocks(_CLICKS.events(s, d), "1 day"), "1 day", as_of=windows.latest_arrival(_CLICKS.events(s, d))),
         "boundary_completeness_b": lambda s, d: windows.boundary_completeness(
-            windows.window_blocks(_LINES.events(s, d), "7 days"), "7 days"),
+            windows.window_blocks(_LINES.events(s, d), "7 days"), "7 days", as_of=windows.latest_arrival(_LINES.events(s, d))),
         "gap_rate": lambda s, d: gaps.gap_rate(_CLICKS.events(s, d), _CLICKS.registry(s, d), "1 day"),
         "copy_delays": copies,
         "copy_rate": lambda s, d: gaps.copy_rate(copies(s, d), _CLICKS.events(s, d), _CLICKS.registry(s, d), "1 day"),

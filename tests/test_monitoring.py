@@ -52,6 +52,15 @@ def test_a_serial_lost_between_two_hours_is_counted_once(spark):
     assert (found[_hour(2), 2]["lost_events"], found[_hour(2), 2]["unseen_prefix"]) == (1, 7)
 
 
+def test_completeness_folds_the_events_once_and_joins_nothing(spark, capsys):
+    events = _at(spark, [(1, 0, 10), (None, 0, 50), (3, 0, 58)])
+    found = windows.boundary_completeness(windows.window_blocks(events), as_of=windows.latest_arrival(events))
+    assert [r["sequence_id"] for r in found.orderBy("sequence_id").collect()] == [1, 3]
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_judged_once_the_last_event_is_old_enough(spark):
     events = _at(spark, [(1, 0, 10), (2, 0, 55), (3, 0, 58)])
     found = _completeness(events, lateness="3 minutes")
