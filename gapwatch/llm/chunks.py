@@ -8,6 +8,8 @@ ids of those it has met, in a memory of bounded size.
 from __future__ import annotations
 
 import os
+import string
+import struct
 from collections.abc import Callable, Iterable
 from functools import cache
 from itertools import chain
@@ -29,7 +31,17 @@ def chunks_of(text: str) -> list[str]:
 
 def packed(ids: Iterable[int]) -> bytes:
     """Ids as little-endian 32-bit numbers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    ids = list(ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def plain_words(chunk: str) -> tuple[str, ...] | None:
+    """The words of a chunk of ASCII letters and signs behind them, as the tokenizer files cut it; None for any other."""
+    if chunk.isascii():
+        letters = chunk.rstrip(string.punctuation)
+        if letters.isalpha():
+            return (letters.lower(),) if len(letters) == len(chunk) else (letters.lower(), chunk[len(letters):])
+    return None
 
 
 class ChunkIds:

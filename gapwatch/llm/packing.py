@@ -14,6 +14,7 @@ sequence per task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.llm.chunks import ChunkIds, packed, tokenizer_of
+from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, packed, plain_words, tokenizer_of
 from gapwatch.llm.common import small_batches
 
 #: Pieces that compete for a place at a time.
@@ -118,10 +119,48 @@ def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _SCHEMA], schema=_SCHEMA)
 
 
+class WordIds:
+    """Ids of chunks, as the bytes of ``packed``; words met lately are remembered, new ones go to the library many at a time."""
+
+    def __init__(self, tokenizer, most: int = 400_000, at_once: int = 256):
+        self._tokenizer, self._most, self._at_once, self._known = tokenizer, most, at_once, {}
+        vocabulary, end = tokenizer.get_vocab(with_added_tokens=False), tokenizer.model.end_of_word_suffix
+        self._ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
+        self._ends[[i for label, i in vocabulary.items() if end and label.endswith(end)]] = True
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [packed(e.ids) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _together(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of plain words: those of a line of them, cut behind each last token of a word."""
+        lines = [words[at: at + self._at_once] for at in range(0, len(words), self._at_once)]
+        for line, found in zip(lines, self._tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            bounds = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+            if len(bounds) != len(line):
+                yield from self._each(line)
+                continue
+            raw = ids.tobytes()
+            yield from [raw[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def __call__(self, chunks: list[str]) -> Iterator[bytes]:
+        split = [plain_words(c) or (c,) for c in chunks]
+        if len(self._known) > self._most:
+            self._known.clear()
+        known = self._known
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
+        plain = [w for w in new if w.isascii() and w.isalpha()]
+        other = [w for w in new if not (w.isascii() and w.isalpha())]
+        own = dict(zip(plain, self._together(plain))) | dict(zip(other, self._each(other)))
+        for words in split:
+            yield b"".join([own[w] if w in own else known[w] for w in words])
+        known.update((w, ids) for w, ids in own.items() if len(w) <= LONGEST_KEPT)
+
+
 def _pack_batches(path: str, end: int | None, limits: dict, has_loss: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
-        encoder = ChunkIds(lambda chunks: (packed(e.ids) for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)))
+        encoder = ChunkIds(WordIds(tokenizer))
         packer = Packer(TaskContext.get().partitionId() << 33, **limits)
         last = np.array([] if end is None else [end], dtype="<u4")
         for batch in batches:

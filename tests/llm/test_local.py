@@ -248,3 +248,33 @@ def test_each_bit_is_predicted_without_its_own_count():
     symbols, _, slots = mixing.context_slots(mixing.Spelled(words, lengths), np.array([0]), np.array([-1]))
     assert not mixing._bits(symbols, slots, mixing.learner(counts.tables))[3].any()
     assert (mixing._bits(symbols, slots, mixing.untrained(counts.tables))[3] != 0).all()
+
+
+def test_words_encoded_many_at_a_time_are_those_of_each_alone():
+    from gapwatch.llm import chunks
+    from gapwatch.llm.queries import tokenizer_path
+
+    tokenizer = chunks.tokenizer_of(tokenizer_path())
+    given = ["The", "the.", "WORD'", "don't", "it's.", "...", "a1", "<|endoftext|>", "Iß\u0130", "x" * 300, "<", "end<|", "caf\u00e9!", "ab\x7f"]
+    alone = [chunks.packed(e.ids) for e in tokenizer.encode_batch_fast(given, add_special_tokens=False)]
+    words = packing.WordIds(tokenizer, most=3, at_once=2)
+    assert list(words(given)) == alone and list(words(given[::-1])) == alone[::-1]
+    asked = []
+    counting = SimpleNamespace(
+        get_vocab=tokenizer.get_vocab, get_vocab_size=tokenizer.get_vocab_size, model=tokenizer.model,
+        encode_batch_fast=lambda x, **kw: asked.append(len(x)) or tokenizer.encode_batch_fast(x, **kw))
+    many = ["Word" + chr(97 + i) + sign for i in range(26) for sign in ("", ".", ",")]
+    assert list(packing.WordIds(counting)(many)) == [chunks.packed(e.ids) for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)]
+    assert sum(asked) == 3  # a line of words and two signs
+
+
+def test_words_of_plain_chunks_are_those_of_the_pattern():
+    import regex
+    from gapwatch.llm import automaton, chunks
+
+    assert chunks.plain_words("Don") == ("don",) and chunks.plain_words("so!?'") == ("so", "!?'")
+    assert all(chunks.plain_words(c) is None for c in ("don't", "...", "a1", "caf\u00e9", "<|endoftext|>", "a\x00", ""))
+    dice = random.Random(5)
+    for _ in range(2000):
+        chunk = "".join(dice.choice("abSTdm'.<_1|") for _ in range(dice.randrange(1, 7)))
+        assert (chunks.plain_words(chunk) or None) in (None, tuple(regex.findall(automaton.WORDS, chunk.lower())))
