@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, packed
+from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, packed, plain_words
 from gapwatch.llm.common import id_and_text, small_batches
 
 _NEVER = 1 << 60
@@ -157,6 +157,9 @@ class WordBpe:
         return ids
 
     def _encode_chunk(self, chunk: str) -> bytes:
+        plain, known = plain_words(chunk), self._known.get
+        if plain:
+            return b"".join([known(word) or self._encode_word(word) for word in plain])
         out: list[bytes] = []
         for part in self._special.split(chunk) if self._special and "<" in chunk else [chunk]:
             if part in self.specials:
@@ -166,7 +169,7 @@ class WordBpe:
                 # Letter by letter: the final form of sigma is not chosen by its place.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             for word in self._words.findall(part.lower()):
-                out.append(self._known.get(word) or self._encode_word(word))
+                out.append(known(word) or self._encode_word(word))
         return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
