@@ -44,6 +44,14 @@ def plain_words(chunk: str) -> tuple[str, ...] | None:
     return None
 
 
+def latin_words(chunk: str) -> tuple[str, ...] | None:
+    """As ``plain_words``, also of letters up to U+00FF, which stay as they are in NFC and are lower-cased one by one."""
+    letters = chunk.rstrip(string.punctuation)
+    if letters.isalpha() and (letters.isascii() or max(letters) <= "\xff"):
+        return (letters.lower(),) if len(letters) == len(chunk) else (letters.lower(), chunk[len(letters):])
+    return None
+
+
 class ChunkIds:
     """Ids of texts; ``encode`` gives the ids of each of a list of chunks, as the bytes of ``packed``.
 
@@ -56,26 +64,20 @@ class ChunkIds:
     def ids_of(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; chunks that no text had before are encoded in one call for all of them."""
         split = [chunks_of(text) for text in texts]
-        known = self._known
-        missing = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in known]
+        chunks = list(chain.from_iterable(split))
+        found = list(map(self._known.get, chunks))
+        missing = list(dict.fromkeys([c for c, ids in zip(chunks, found) if ids is None]))
         if missing:
-            found = zip(missing, self._encode(missing))
-            if len(known) + len(missing) > self._most:
-                own = {c: known[c] for c in set(chain.from_iterable(split)) if c in known}
-                known = self._known = {}
-            else:
-                own = known
-            own.update(found)
-            if own is not known:
-                known.update((c, own[c]) for c in missing if len(c) <= LONGEST_KEPT)
-        else:
-            own = known
-        ids = [np.frombuffer(b"".join([own[c] for c in chunks]), dtype="<u4") for chunks in split]
-        if own is known:
+            new = dict(zip(missing, self._encode(missing)))
+            found = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
+            if len(self._known) + len(missing) > self._most:
+                self._known = {}
+            self._known.update(new)
             for c in missing:
                 if len(c) > LONGEST_KEPT:
-                    del known[c]
-        return ids
+                    del self._known[c]
+        ends = np.cumsum([len(own) for own in split]).tolist()
+        return [np.frombuffer(b"".join(found[a:b]), dtype="<u4") for a, b in zip([0, *ends], ends)]
 
     def ids(self, text: str) -> np.ndarray:
         return self.ids_of([text])[0]
@@ -94,3 +96,13 @@ def tokenizer_of(path: str):
     tokenizer.no_padding()
     tokenizer.no_truncation()
     return tokenizer
+
+
+def words_only(tokenizer):
+    """The tokenizer without the steps that words of ``latin_words`` no longer need: normalizing, cutting by pattern."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    plain = Tokenizer(tokenizer.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence([
+        pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain

@@ -14,7 +14,6 @@ sequence per task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, packed, plain_words, tokenizer_of
+from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, latin_words, packed, tokenizer_of, words_only
 from gapwatch.llm.common import small_batches
 
 #: Pieces that compete for a place at a time.
@@ -71,31 +70,33 @@ class Packer:
     def pack(self, until: int) -> Iterator[tuple]:
         """Fill sequences until at most ``until`` pieces are left: (piece, sequence, segment, offset)."""
         pieces = self._pieces
-        demands = np.array([self._demand(p) for p in pieces], dtype=np.float64).reshape(-1, 3)
-        waiting = np.ones(len(pieces), dtype=bool)
-        count = len(pieces)
+        # one row per limit; a piece that was placed demands more than there is
+        demands = np.array([self._demand(p) for p in pieces], dtype=np.float64).reshape(-1, 3).T.copy()
+        gone, count = float(self._limits.max()) * 2, len(pieces)
         while count > until:
             left, segment, offset = self._limits.copy(), 0, 0
             while count:
-                fits = waiting & (demands <= left).all(axis=1)
-                if fits.any():
-                    along = demands @ (left / self._limits / self._limits)
-                    best = int(np.where(fits, along, -1.0).argmax())
+                fits = (demands[0] <= left[0]) & (demands[1] <= left[1]) & (demands[2] <= left[2])
+                along = self._along(demands, left)
+                along[~fits] = -1.0
+                best = int(along.argmax())
+                if fits[best]:
                     piece = pieces[best]
-                    waiting[best] = False
+                    pieces[best], demands[:, best] = None, gone
                     count -= 1
                 else:
                     head, best = 0, -1
                     if (self._cut or not segment) and left[1] >= 1 and left[0] >= 1:
-                        along = demands @ (left / self._limits / self._limits)
-                        best = int(np.where(waiting, along, -1.0).argmax())
+                        along = self._along(demands, left)
+                        along[demands[1] == gone] = -1.0
+                        best = int(along.argmax())
                         head = self._head(pieces[best], left)
                     if head < 1:
                         break
                     doc, start, ids, total, loss = pieces[best]
                     piece = (doc, start, ids[:head], total, None if loss is None else loss[:head])
                     pieces[best] = (doc, start + head, ids[head:], total, None if loss is None else loss[head:])
-                    demands[best] = self._demand(pieces[best])
+                    demands[:, best] = self._demand(pieces[best])
                 yield piece, self._next, segment, offset
                 left -= self._demand(piece)
                 segment += 1
@@ -103,7 +104,10 @@ class Packer:
                 if left[0] < 1 or left[1] < 1:
                     break
             self._next += 1
-        self._pieces = [p for p, w in zip(pieces, waiting) if w]
+        self._pieces = [p for p in pieces if p is not None]
+
+    def _along(self, demands: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return (left / self._limits / self._limits) @ demands
 
 
 def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +124,14 @@ def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 class WordIds:
-    """Ids of chunks, as the bytes of ``packed``; words met lately are remembered, new ones go to the library many at a time."""
+    """Ids of chunks, as the bytes of ``packed``; words met lately are remembered, new ones go to the library many at a time.
+
+    ``plain`` encodes lines of words of ``latin_words`` (default: the tokenizer itself).
+    """
 
-    def __init__(self, tokenizer, most: int = 400_000, at_once: int = 256):
-        self._tokenizer, self._most, self._at_once, self._known = tokenizer, most, at_once, {}
+    def __init__(self, tokenizer, plain=None, most: int = 400_000, at_once: int = 256):
+        self._tokenizer, self._plain = tokenizer, plain or tokenizer
+        self._most, self._at_once, self._known = most, at_once, {}
         vocabulary, end = tokenizer.get_vocab(with_added_tokens=False), tokenizer.model.end_of_word_suffix
         self._ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
         self._ends[[i for label, i in vocabulary.items() if end and label.endswith(end)]] = True
@@ -132,9 +140,9 @@ class WordIds:
         return [packed(e.ids) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _together(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of plain words: those of a line of them, cut behind each last token of a word."""
+        """Ids of words of letters: those of a line of them, cut behind each last token of a word."""
         lines = [words[at: at + self._at_once] for at in range(0, len(words), self._at_once)]
-        for line, found in zip(lines, self._tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+        for line, found in zip(lines, self._plain.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(found.ids, dtype="<u4")
             bounds = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
             if len(bounds) != len(line):
@@ -144,23 +152,31 @@ class WordIds:
             yield from [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
     def __call__(self, chunks: list[str]) -> Iterator[bytes]:
-        split = [plain_words(c) or (c,) for c in chunks]
+        split = [latin_words(c) for c in chunks]
         if len(self._known) > self._most:
             self._known.clear()
         known = self._known
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
-        plain = [w for w in new if w.isascii() and w.isalpha()]
-        other = [w for w in new if not (w.isascii() and w.isalpha())]
+        plain = list(dict.fromkeys([s[0] for s in split if s and s[0] not in known]))
+        signs = {s[1] for s in split if s and len(s) > 1 and s[1] not in known}
+        other = list(signs.union([c for c, s in zip(chunks, split) if not s and c not in known]))
         own = dict(zip(plain, self._together(plain))) | dict(zip(other, self._each(other)))
-        for words in split:
-            yield b"".join([own[w] if w in own else known[w] for w in words])
-        known.update((w, ids) for w, ids in own.items() if len(w) <= LONGEST_KEPT)
+        known.update(own)
+        for chunk, words in zip(chunks, split):
+            if not words:
+                yield known[chunk]
+            elif len(words) == 1:
+                yield known[words[0]]
+            else:
+                yield known[words[0]] + known[words[1]]
+        for w in own:
+            if len(w) > LONGEST_KEPT:
+                del known[w]
 
 
 def _pack_batches(path: str, end: int | None, limits: dict, has_loss: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
-        encoder = ChunkIds(WordIds(tokenizer))
+        encoder = ChunkIds(WordIds(tokenizer, words_only(tokenizer)))
         packer = Packer(TaskContext.get().partitionId() << 33, **limits)
         last = np.array([] if end is None else [end], dtype="<u4")
         for batch in batches:

@@ -278,3 +278,18 @@ def test_words_of_plain_chunks_are_those_of_the_pattern():
     for _ in range(2000):
         chunk = "".join(dice.choice("abSTdm'.<_1|") for _ in range(dice.randrange(1, 7)))
         assert (chunks.plain_words(chunk) or None) in (None, tuple(regex.findall(automaton.WORDS, chunk.lower())))
+
+
+def test_accented_words_go_to_the_library_a_line_at_a_time_and_keep_their_ids():
+    from gapwatch.llm import chunks
+
+    tokenizer = chunks.tokenizer_of(tokenizer_path())
+    asked = []
+    plain = SimpleNamespace(encode_batch_fast=lambda x, **kw: asked.append(len(x)) or chunks.words_only(tokenizer).encode_batch_fast(x, **kw))
+    many = [w + s for w in ("Été", "straße", "µm", "Word", "naïve" * 60, *(f"è{chr(97 + i)}" for i in range(26))) for s in ("", ".", ",'s")]
+    alone = [chunks.packed(e.ids) for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)]
+    assert list(packing.WordIds(tokenizer, plain)(many)) == alone and asked == [1]
+    odd = ["été", "İx", "ΟΣ", "don't", "日本", "a²", "×", "<|endoftext|>", "ſo"]
+    assert [chunks.latin_words(c) for c in odd] == [None] * len(odd)
+    alone = [chunks.packed(e.ids) for e in tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+    assert list(packing.WordIds(tokenizer, plain)(odd)) == alone
