@@ -44,12 +44,13 @@ def plain_words(chunk: str) -> tuple[str, ...] | None:
     return None
 
 
-def latin_words(chunk: str) -> tuple[str, ...] | None:
-    """As ``plain_words``, also of letters up to U+00FF, which stay as they are in NFC and are lower-cased one by one."""
+def latin_word(chunk: str) -> tuple[str, str]:
+    """The word of a chunk and the signs behind it, if it is letters up to U+00FF (which stay as they are in NFC and are
+    lower-cased one by one) and then signs, which the tokenizer files cut as they do; else two empty texts."""
     letters = chunk.rstrip(string.punctuation)
     if letters.isalpha() and (letters.isascii() or max(letters) <= "\xff"):
-        return (letters.lower(),) if len(letters) == len(chunk) else (letters.lower(), chunk[len(letters):])
-    return None
+        return letters.lower(), chunk[len(letters):]
+    return "", ""
 
 
 class ChunkIds:
@@ -66,10 +67,12 @@ class ChunkIds:
         split = [chunks_of(text) for text in texts]
         chunks = list(chain.from_iterable(split))
         found = list(map(self._known.get, chunks))
-        missing = list(dict.fromkeys([c for c, ids in zip(chunks, found) if ids is None]))
-        if missing:
+        places = [i for i, ids in enumerate(found) if ids is None]
+        if places:
+            missing = list(dict.fromkeys([chunks[i] for i in places]))
             new = dict(zip(missing, self._encode(missing)))
-            found = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
+            for i in places:
+                found[i] = new[chunks[i]]
             if len(self._known) + len(missing) > self._most:
                 self._known = {}
             self._known.update(new)
@@ -99,7 +102,7 @@ def tokenizer_of(path: str):
 
 
 def words_only(tokenizer):
-    """The tokenizer without the steps that words of ``latin_words`` no longer need: normalizing, cutting by pattern."""
+    """The tokenizer without the steps that words of ``latin_word`` no longer need: normalizing, cutting by pattern."""
     from tokenizers import Tokenizer, pre_tokenizers
 
     plain = Tokenizer(tokenizer.model)

@@ -14,6 +14,8 @@ sequence per task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, latin_words, packed, tokenizer_of, words_only
+from gapwatch.llm.chunks import LONGEST_KEPT, ChunkIds, latin_word, packed, tokenizer_of, words_only
 from gapwatch.llm.common import small_batches
 
 #: Pieces that compete for a place at a time.
@@ -126,7 +128,7 @@ def _rows(placed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 class WordIds:
     """Ids of chunks, as the bytes of ``packed``; words met lately are remembered, new ones go to the library many at a time.
 
-    ``plain`` encodes lines of words of ``latin_words`` (default: the tokenizer itself).
+    ``plain`` encodes lines of words of ``latin_word`` (default: the tokenizer itself).
     """
 
     def __init__(self, tokenizer, plain=None, most: int = 400_000, at_once: int = 256):
@@ -151,32 +153,32 @@ class WordIds:
             raw = ids.tobytes()
             yield from [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
-    def __call__(self, chunks: list[str]) -> Iterator[bytes]:
-        split = [latin_words(c) for c in chunks]
+    def __call__(self, chunks: list[str]) -> list[bytes]:
         if len(self._known) > self._most:
             self._known.clear()
-        known = self._known
-        plain = list(dict.fromkeys([s[0] for s in split if s and s[0] not in known]))
-        signs = {s[1] for s in split if s and len(s) > 1 and s[1] not in known}
-        other = list(signs.union([c for c, s in zip(chunks, split) if not s and c not in known]))
-        own = dict(zip(plain, self._together(plain))) | dict(zip(other, self._each(other)))
-        known.update(own)
-        for chunk, words in zip(chunks, split):
-            if not words:
-                yield known[chunk]
-            elif len(words) == 1:
-                yield known[words[0]]
-            else:
-                yield known[words[0]] + known[words[1]]
-        for w in own:
+        known, heads, tails, other = self._known, [], [], []
+        for chunk in chunks:
+            word, sign = latin_word(chunk)
+            heads.append(word or chunk)
+            tails.append(sign)
+            if not word:
+                other.append(chunk)
+        known[""] = b""
+        other = [c for c in dict.fromkeys(other + tails) if c not in known]
+        known.update(zip(other, self._each(other)))
+        plain = list(dict.fromkeys([w for w in heads if w not in known]))
+        known.update(zip(plain, self._together(plain)))
+        ids = list(map(add, map(known.__getitem__, heads), map(known.__getitem__, tails)))
+        for w in chain(plain, other):
             if len(w) > LONGEST_KEPT:
                 del known[w]
+        return ids
 
 
 def _pack_batches(path: str, end: int | None, limits: dict, has_loss: bool):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
-        encoder = ChunkIds(WordIds(tokenizer, words_only(tokenizer)))
+        encoder = ChunkIds(WordIds(tokenizer, words_only(tokenizer)), most=600_000)
         packer = Packer(TaskContext.get().partitionId() << 33, **limits)
         last = np.array([] if end is None else [end], dtype="<u4")
         for batch in batches:
